@@ -21,6 +21,11 @@ def shuffle_key(by: Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in by]))
 
 
+def key_position() -> Column:
+    """Place of the key in the hash range, from 0 to 1; keys are spread evenly over it."""
+    return F.conv(F.substring(KEY, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+
+
 def first_eval_key(keyed: DataFrame, ratio: float = TRAIN_RATIO) -> DataFrame:
     """One row with the key at rank ``floor(n * ratio)``, or no row if that is past the end.
 

@@ -12,7 +12,7 @@ from passagemill.functions.text import clean_text
 from passagemill.operators.conversations import format_conversations
 from passagemill.operators.parse import parse_lines, parse_sources, source_rejects
 from passagemill.operators.relate import attach_sources, fits_broadcast, number_copies
-from passagemill.operators.split import KEY, SEED, TRAIN_RATIO, exact_split, label_keyed, shuffle_key
+from passagemill.operators.split import KEY, SEED, TRAIN_RATIO, exact_split, first_eval_key, key_position, shuffle_key
 from passagemill.plans.audit import audit_counts
 from passagemill.sinks import preview, write_datasets
 from passagemill.sources.files import file_blocks, list_files, number_lines, place_blocks, read_lines, scan_corpus
@@ -20,6 +20,7 @@ from passagemill.sources.metadata import read_metadata_lines
 
 # What tells two merged rows apart: the line, and the source row joined to it.
 SPLIT_BY = ("sequence", "words", "genre", "year", "source", "title", "pubInfo", "copy")
+SLICE_MARGIN = 0.01
 TARGET_FILE_BYTES = 512 << 20
 
 
@@ -104,9 +105,9 @@ def run_job(
     """
     staging = f"{spark.conf.get('spark.checkpoint.dir', None) or output_base + '_staging'}/{uuid4().hex}"
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{staging}/{name}")
-        return spark.read.parquet(f"{staging}/{name}")
+    def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+        df.write.partitionBy(*partition_by).parquet(f"{staging}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
 
     metadata = read_metadata_lines(spark, sources)
     source_table = stored(number_copies(parse_sources(metadata)), "sources")
@@ -124,16 +125,26 @@ def run_job(
     numbered = number_lines(lines, blocks, map_side=fits_broadcast(blocks))
     how = "broadcast" if fits_broadcast(source_table) else "salted"
     merged = assemble(numbered, source_table, how, mode)
+    # Stored in three slices: surely train, around the cut, surely eval. Each side reads its own
+    # slices only; which rows it takes is decided by the exact key.
+    edges = [ratio - SLICE_MARGIN, ratio + SLICE_MARGIN]
     keyed = merged.withColumn(KEY, shuffle_key(SPLIT_BY, seed))
-    records = stored(format_conversations(keyed, keep=[KEY]), "records")
+    sliced = keyed.withColumn("slice", sum(((key_position() >= e).cast("int") for e in edges), F.lit(0)))
+    records = stored(format_conversations(sliced, keep=[KEY, "slice"]), "records", "slice")
     n_records = _require(records.count(), "no line has a source")
 
     stored_bytes = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{staging}/records")
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{staging}/records/*")
         .agg(F.sum("length")).first()[0]
     )
-    labelled = label_keyed(records, ratio)
-    train, held_out = (labelled.where(F.col("split") == side).drop("split") for side in ("train", "eval"))
+    cut = first_eval_key(records, ratio).first()
+    if cut is None:
+        train, held_out = records, records.where("false")
+    else:
+        cut_slice = sum(int(cut[KEY][:8], 16) / (1 << 32) >= e for e in edges)
+        train = records.where((F.col("slice") <= cut_slice) & (F.col(KEY) < cut[KEY]))
+        held_out = records.where((F.col("slice") >= cut_slice) & (F.col(KEY) >= cut[KEY]))
+    train, held_out = train.drop("slice"), held_out.drop("slice")
     partitions = max(1, -(-stored_bytes // target_file_bytes))
     paths = write_datasets(train, held_out, output_base, ratio, partitions, write_mode)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagemill.operators.split import KEY
+from passagemill.operators.split import KEY, key_position
 
 # Fixed value: rows of a preview.
 PREVIEW_ROWS = 5
@@ -17,8 +17,7 @@ def in_shuffled_order(df: DataFrame, partitions: int, low: float = 0.0, high: fl
     The key is a hash, so equal slices of its range [low, high) hold equally many rows; the partition
     follows from the key and no sampling pass over the data is needed.
     """
-    position = F.conv(F.substring(KEY, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    slot = F.floor((position - F.lit(low)) / F.lit(max(high - low, 1e-9)) * F.lit(partitions))
+    slot = F.floor((key_position() - F.lit(low)) / F.lit(max(high - low, 1e-9)) * F.lit(partitions))
     slot = F.least(F.greatest(slot, F.lit(0)), F.lit(partitions - 1)).cast("int")
     return df.repartitionById(partitions, slot).sortWithinPartitions(KEY).drop(KEY)
 
