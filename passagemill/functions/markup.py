@@ -8,6 +8,7 @@ keeps the text outside comments, declarations, processing instructions and the c
 
 from __future__ import annotations
 
+import json
 import sys
 from html.entities import html5
 from html.parser import HTMLParser
@@ -118,12 +119,13 @@ _MARKUP = rf"<!--.*?-->|{_HIDDEN}|<[!?][^>]*>|</?[a-zA-Z][^>]*>"
 # References that nearly every page is made of; looked up before the full table.
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp", "apos")
 _WINDOWS_1252 = {
-    n: bytes([n]).decode("windows-1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+    str(n): bytes([n]).decode("windows-1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 }
 
 
-def _lookup(table: dict) -> Column:
-    return F.create_map(*[F.lit(x) for item in table.items() for x in item])
+def _lookup(table: dict[str, str], key: Column) -> Column:
+    """Value for ``key``, null if there is none. The table is one literal, folded into a map once."""
+    return F.try_element_at(F.from_json(F.lit(json.dumps(table)), "map<string,string>"), key)
 
 
 def _decode_reference(ref: Column) -> Column:
@@ -136,10 +138,10 @@ def _decode_reference(ref: Column) -> Column:
     number = F.coalesce(number, F.lit(0))
     valid = (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")), "utf-32")
-    numeric = F.coalesce(F.try_element_at(_lookup(_WINDOWS_1252), number.cast("int")), char)
+    numeric = F.coalesce(_lookup(_WINDOWS_1252, number.cast("string")), char)
     named = F.coalesce(
-        F.try_element_at(_lookup({name: NAMED_REFERENCES[name] for name in _COMMON}), body),
-        F.try_element_at(_lookup(NAMED_REFERENCES), body),
+        _lookup({name: NAMED_REFERENCES[name] for name in _COMMON}, body),
+        _lookup(NAMED_REFERENCES, body),
         F.concat(F.lit("&"), body),
     )
     return F.when(F.startswith(ref, F.lit("&#")), numeric).otherwise(named)
