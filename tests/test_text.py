@@ -1,0 +1,139 @@
+"""Text cleaning: golden cases, and random strings against a plain restatement."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from passagemill.functions.markup import html_unescape, strip_markup, visible_text
+from passagemill.functions.text import RULES, WS_CHARS, apply_rules, clean_text, collapse_ws, mask_redactions, strip_ws
+
+GOLDEN = [
+    ("Hello , world !", "Hello, world!"),
+    ("wait . . .", "wait..."),
+    ("x @ y", "x y"),
+    ("@ @", "<unk>"),
+    ("a@b.com", "ab.com"),
+    ("a  .b", "a .b"),
+    ("a  .b @ c", "a.b c"),
+    ("a  ..  .", "a..."),
+    ("He did n't ( go ) ' ok '", "He didn't (go)'ok'"),
+    ("one -- two", "one two"),
+    ("**14;257;TOOLONG tail", "257;TOOLONG tail"),
+    ("R & D", "R& D"),
+    ("R &amp; D", "R& D"),
+    ("x &; y", "x y"),
+    ("<p>Hi <b>there</b> .</p>", "Hi there."),
+    ("<script>var a;</script>ok", "ok"),
+    ("<p></p>", "<p></p>"),
+    ("a < b", "a < b"),
+    ("&copy; 2020", "© 2020"),
+    ("", ""),
+    ("  \n", ""),
+]
+
+
+def restated(text, rules=RULES):
+    """The cleaner in plain Python, one step after the other."""
+    collapse = lambda t: re.sub(r"\s+", " ", t)
+    text = re.sub(r"(@\s*)+", "<unk>", text.strip())
+    plain = visible_text(text)
+    if plain != text and plain:
+        text = collapse(plain).strip()
+    for pattern, replacement in rules:
+        text = re.sub(pattern, replacement, text)
+    return collapse(text).strip()
+
+
+def random_texts(n, pieces, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(n)]
+
+
+PIECES = list(" \t\n  \u0085\u001c@@'()?!.,;:&*") + [
+    "  ", "--", " .. .", "n't", "**", ";;", "&;", "a", "Bc", "é", "\U0001f600", "'", " '", "@ @", "x;y", "$1", "\\",
+]
+
+
+@pytest.mark.parametrize("mode", ["parser", "native"])
+def test_golden(spark, mode):
+    df = spark.createDataFrame(GOLDEN, "text string, want string")
+    rows = df.select("text", "want", clean_text(F.col("text"), mode).alias("got")).collect()
+    assert [(r.text, r.got) for r in rows] == GOLDEN
+
+
+def test_random_text_equals_restatement(spark):
+    texts = random_texts(20000, PIECES, seed=7)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(8)
+    one_by_one = strip_ws(collapse_ws(apply_rules(F.col("text"), list(RULES))))
+    built_in = strip_ws(collapse_ws(apply_rules(F.col("text"))))
+    out = df.select(
+        "text", clean_text(F.col("text")).alias("got"), mask_redactions(F.col("text")).alias("masked"),
+        strip_ws(F.col("text")).alias("stripped"), one_by_one.alias("slow"), built_in.alias("fast"),
+    ).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert r.got == restated(r.text), repr(r.text)
+        assert r.masked == re.sub(r"(@\s*)+", "<unk>", r.text), repr(r.text)
+        assert r.stripped == r.text.strip(), repr(r.text)
+        assert r.fast == r.slow, repr(r.text)
+
+
+def test_random_markup_equals_restatement(spark):
+    markup = ["<b>", "</b>", "<p class='x@y'>", "</p>", "<br/>", "<br>", "<!-- c -->", "<script>", "</script>", "<rt>", "</rt>",
+              "<template>", "</template>", "<style>", "</style>", "&amp;", "&copy", "&nosuch;", "&#150;", "&#xe9;", "&#0;",
+              "&#xD800;", "&#99999999;", "<", ">", "<?pi?>", "<!doctype html>", "<![CDATA[d]]>", "&lt;b&gt;"]
+    texts = random_texts(6000, PIECES + markup * 2, seed=11)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(8)
+    for r in df.select("text", clean_text(F.col("text")).alias("got")).collect():
+        assert r.got == restated(r.text), repr(r.text)
+
+
+def test_native_mode_equals_parser_on_closed_markup(spark):
+    pieces = ["text", " ", "é", "<b>x</b>", "<p title='t'>", "</p>", "<br/>", "<!-- c -->", "<script>if (a) b;</script>",
+              "<style>p{}</style>", "&amp; ", "&copy;", "&#233;", "&#x2014;", "&nosuch; ", "&amp</p>", "\n"]
+    texts = [t + "." for t in random_texts(4000, pieces, seed=3)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(8)
+    out = df.select("text", strip_markup(F.col("text")).alias("p"), strip_markup(F.col("text"), "native").alias("n"))
+    assert [r.text for r in out.collect() if r.p != r.n] == []
+
+
+def test_whitespace_class_is_python_whitespace(spark):
+    assert sorted(WS_CHARS) == [chr(c) for c in range(1, 0x3100) if chr(c).isspace()]
+    df = spark.createDataFrame([(c, "a" + chr(c) + "b") for c in range(1, 0x3100)], "c int, text string")
+    got = {r.c for r in df.where(collapse_ws(F.col("text")) == "a b").collect()}
+    assert got == {c for c in range(1, 0x3100) if chr(c).isspace()}
+
+
+def test_entities(spark):
+    cases = [("&lt;&gt;&amp;&quot;&nbsp;", "<>&\" "), ("&#x1F600;&#8212;&#150;", "\U0001f600—–"), ("&#xD800;&#x110000;", "��"),
+             ("&nosuch; &amp", "&nosuch &"), ("&amp;lt;", "&lt;"), ("no reference", "no reference")]
+    df = spark.createDataFrame(cases, "text string, want string")
+    assert [(r.text, r.got) for r in df.select("text", html_unescape(F.col("text")).alias("got")).collect()] == cases
+
+
+def test_hidden_containers_end_with_their_parent():
+    assert visible_text("<div><rt>no<b>no</b></div>yes") == "yes"
+    assert visible_text("<template>no<b>no</b></template>yes</b>") == "yes"
+    assert visible_text("a<!-- x -->b<![CDATA[c]]>") == "abc"
+
+
+def test_custom_rules(spark):
+    df = spark.createDataFrame([("cost: 5 usd\t!",)], "text string")
+    got = df.select(apply_rules(F.col("text"), [(r"(\d) usd", "$x"), (r"\s+!", "\\!"), ("cost", "price")]).alias("t")).first().t
+    assert got == "price: $x\\!"
+
+
+def test_long_runs_neither_overflow_nor_stall(spark):
+    texts = ["@ " * 50000 + "x", " " * 100000 + "x", "a" + " " * 100000 + "b", ";" * 50000, "**" + ";" * 50000 + "x", "( " * 50000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r.t for r in df.select(clean_text(F.col("text")).alias("t")).collect()]
+    assert got[:3] == ["x", "x", "a b"] and got[4] == "x"
+
+
+def test_plain_rows_do_not_reach_the_parser(spark):
+    """The parser UDF gets null for rows without markup."""
+    df = spark.createDataFrame([("plain @ text",), ("<b>x</b>",)], "text string")
+    plan = df.select(clean_text(F.col("text")).alias("t"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "CASE WHEN" in plan.split("ArrowEvalPython")[1]
