@@ -91,30 +91,53 @@ def _require(rows: int, what: str) -> int:
     return rows
 
 
-def run_job(
-    spark: SparkSession, corpus: str, sources: str, output_base: str, ratio: float = TRAIN_RATIO,
-    seed: int = SEED, mode: str = "parser", target_file_bytes: int = TARGET_FILE_BYTES,
-    write_mode: str = "errorifexists",
-) -> JobResult:
-    """Run everything and write ``<output_base>_train.parquet`` and ``<output_base>_eval.parquet``.
+def staging_folder(spark: SparkSession, fallback: str) -> str:
+    """A new folder for stored tables: under ``spark.checkpoint.dir`` if that is set."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or fallback}/{uuid4().hex}"
+
 
-    Three tables are stored on the way, in the folder named by ``spark.checkpoint.dir`` if it is set
-    and next to the output otherwise: sources, file blocks, and the formatted records. They cut the
-    lineage, and their sizes decide what may be broadcast. The corpus is read twice, its text is
-    shuffled once, into output order.
+@dataclass
+class Prepared:
+    """Formatted records with ``shuffle_key`` and ``slice``, the key of the first eval record (None if
+    there is none), and the counts on the way."""
+
+    records: DataFrame
+    cut: str | None
+    counts: dict[str, int]
+    ratio: float
+
+    def side(self, name: str) -> DataFrame:
+        """The records of 'train' or 'eval'."""
+        if self.cut is None:
+            return self.records if name == "train" else self.records.where("false")
+        cut_slice = sum(int(self.cut[:8], 16) / (1 << 32) >= e for e in _slice_edges(self.ratio))
+        if name == "train":
+            return self.records.where((F.col("slice") <= cut_slice) & (F.col(KEY) < self.cut))
+        return self.records.where((F.col("slice") >= cut_slice) & (F.col(KEY) >= self.cut))
+
+
+def _slice_edges(ratio: float) -> list[float]:
+    return [ratio - SLICE_MARGIN, ratio + SLICE_MARGIN]
+
+
+def prepare_records(
+    lines: DataFrame, files: DataFrame, sources: DataFrame, staging: str, ratio: float = TRAIN_RATIO,
+    seed: int = SEED, mode: str = "parser", scanned: bool = False,
+) -> Prepared:
+    """Everything up to the split, with three stored tables: sources, file blocks, records.
+
+    They cut the lineage, and their sizes decide what may be broadcast. ``lines`` is read twice.
+    ``scanned`` says that it comes straight from ``read_lines``, so that lines can be numbered in
+    their scan task.
     """
-    staging = f"{spark.conf.get('spark.checkpoint.dir', None) or output_base + '_staging'}/{uuid4().hex}"
+    spark = lines.sparkSession
 
     def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         df.write.partitionBy(*partition_by).parquet(f"{staging}/{name}")
         return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
 
-    metadata = read_metadata_lines(spark, sources)
-    source_table = stored(number_copies(parse_sources(metadata)), "sources")
+    source_table = stored(number_copies(sources), "sources")
     n_sources = _require(source_table.count(), "no source line could be read")
-
-    lines = read_lines(spark, corpus)
-    files = list_files(spark, corpus)
     blocks = stored(place_blocks(file_blocks(lines), files), "blocks")
     read = blocks.agg(
         F.count_distinct("uri").alias("files"), F.sum("n_marked").alias("marked"), F.sum("n_parsed").alias("parsed")
@@ -122,47 +145,60 @@ def run_job(
     _require(read["marked"] or 0, "no tagged line was found")
     _require(read["parsed"] or 0, "no tagged line could be parsed")
 
-    numbered = number_lines(lines, blocks, map_side=fits_broadcast(blocks))
+    numbered = number_lines(lines, blocks, map_side=scanned and fits_broadcast(blocks))
     how = "broadcast" if fits_broadcast(source_table) else "salted"
     merged = assemble(numbered, source_table, how, mode)
     # Stored in three slices: surely train, around the cut, surely eval. Each side reads its own
     # slices only; which rows it takes is decided by the exact key.
-    edges = [ratio - SLICE_MARGIN, ratio + SLICE_MARGIN]
     keyed = merged.withColumn(KEY, shuffle_key(SPLIT_BY, seed))
-    sliced = keyed.withColumn("slice", sum(((key_position() >= e).cast("int") for e in edges), F.lit(0)))
-    records = stored(format_conversations(sliced, keep=[KEY, "slice"]), "records", "slice")
+    slices = sum(((key_position() >= e).cast("int") for e in _slice_edges(ratio)), F.lit(0))
+    records = stored(format_conversations(keyed.withColumn("slice", slices), keep=[KEY, "slice"]), "records", "slice")
     n_records = _require(records.count(), "no line has a source")
+    cut = first_eval_key(records, ratio).first()
+    counts = {
+        "files_processed": read["files"],
+        "lines_collected": read["marked"],
+        "sources_loaded": n_sources,
+        "rows_before_join": read["parsed"],
+        "rows_after_join": n_records,
+    }
+    return Prepared(records, cut and cut[KEY], counts, ratio)
 
+
+def run_job(
+    spark: SparkSession, corpus: str, sources: str, output_base: str, ratio: float = TRAIN_RATIO,
+    seed: int = SEED, mode: str = "parser", target_file_bytes: int = TARGET_FILE_BYTES,
+    write_mode: str = "errorifexists",
+) -> JobResult:
+    """Run everything and write ``<output_base>_train.parquet`` and ``<output_base>_eval.parquet``.
+
+    Tables stored on the way stay in ``JobResult.staging``. The corpus is read twice; with block and
+    source tables that fit a broadcast its text is shuffled once, into output order.
+    """
+    staging = staging_folder(spark, f"{output_base}_staging")
+    metadata = read_metadata_lines(spark, sources)
+    files = list_files(spark, corpus)
+    prepared = prepare_records(
+        read_lines(spark, corpus), files, parse_sources(metadata), staging, ratio, seed, mode, scanned=True
+    )
     stored_bytes = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{staging}/records/*")
         .agg(F.sum("length")).first()[0]
     )
-    cut = first_eval_key(records, ratio).first()
-    if cut is None:
-        train, held_out = records, records.where("false")
-    else:
-        cut_slice = sum(int(cut[KEY][:8], 16) / (1 << 32) >= e for e in edges)
-        train = records.where((F.col("slice") <= cut_slice) & (F.col(KEY) < cut[KEY]))
-        held_out = records.where((F.col("slice") >= cut_slice) & (F.col(KEY) >= cut[KEY]))
-    train, held_out = train.drop("slice"), held_out.drop("slice")
+    train, held_out = (prepared.side(name).drop("slice") for name in ("train", "eval"))
     partitions = max(1, -(-stored_bytes // target_file_bytes))
     paths = write_datasets(train, held_out, output_base, ratio, partitions, write_mode)
 
     n_files = files.count()
     written = {path: spark.read.parquet(path).count() for path in paths}
-    counts = {
+    train_path, eval_path = (f"{output_base}_{side}.parquet" for side in ("train", "eval"))
+    counts = prepared.counts | {
         "files_found": n_files,
-        "files_processed": read["files"],
-        "files_skipped": n_files - read["files"],
-        "lines_collected": read["marked"],
-        "sources_loaded": n_sources,
+        "files_skipped": n_files - prepared.counts["files_processed"],
         "sources_rejected": source_rejects(metadata).count(),
-        "rows_before_join": read["parsed"],
-        "rows_after_join": n_records,
-        "train_rows": written.get(f"{output_base}_train.parquet", 0),
-        "eval_rows": written.get(f"{output_base}_eval.parquet", 0),
+        "train_rows": written.get(train_path, 0),
+        "eval_rows": written.get(eval_path, 0),
     }
     audit = spark.createDataFrame(list(counts.items()), "metric string, value long")
-    train_path = f"{output_base}_train.parquet"
     shown = preview(spark.read.parquet(train_path)) if train_path in written else None
     return JobResult(paths, audit, shown, staging)

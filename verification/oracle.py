@@ -137,7 +137,7 @@ CORPUS_TO_DATASETS = f"""
     cleaned AS ({_CLEAN_CONTENT}),
     ranked AS (SELECT j.sequence, j.year, j.source, k.content, row_number() OVER (ORDER BY {SPLIT_KEY}) AS r,
         count(*) OVER () AS n FROM joined j JOIN cleaned k ON j.sequence = k.sequence)
-    SELECT CASE WHEN r <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'eval' END AS split, sequence, source,
+    SELECT CASE WHEN r <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'eval' END AS split, source,
         CAST(0 AS BIGINT) AS score, {FLAT}
     FROM (SELECT *, {q(PROMPT)} || content AS human, {reply('year')} AS gpt FROM ranked)"""
 

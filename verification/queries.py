@@ -8,8 +8,6 @@ the cleanup rules fire).
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,7 +19,7 @@ from passagemill.operators.parse import marker_lines, parse_lines, parse_sources
 from passagemill.operators.relate import attach_sources, number_copies, ordered_merge, union_batches
 from passagemill.operators.split import label_split
 from passagemill.plans.audit import audit_counts
-from passagemill.plans.job import SPLIT_BY, assemble
+from passagemill.plans.job import SPLIT_BY, assemble, prepare_records, staging_folder
 from passagemill.sinks import preview
 from passagemill.sources.files import decode_fallback as decode_lines
 from passagemill.sources.files import file_blocks, place_blocks, scan_corpus as scan_files
@@ -65,12 +63,20 @@ def as_file_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def document_files(spark, sf_dir) -> DataFrame:
+    name = F.col("doc_id").cast("string")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select(name.alias("uri"), name.alias("file"), F.col("doc_id").alias("file_order"))
+
+
+def scratch(spark: SparkSession) -> str:
+    return staging_folder(spark, "/tmp/passagemill")
+
+
 def numbered_lines(spark, sf_dir) -> DataFrame:
     """line, file, file_order, line_num, sequence."""
     lines = as_file_lines(tagged_lines(spark, sf_dir))
-    blocks = file_blocks(lines)
-    files = blocks.groupBy("uri").agg(F.min("uri").alias("file")).withColumn("file_order", F.col("uri").cast("long"))
-    return number_file_lines(lines, place_blocks(blocks, files))
+    return number_file_lines(lines, place_blocks(file_blocks(lines), document_files(spark, sf_dir)))
 
 
 def source_lines(spark, sf_dir) -> DataFrame:
@@ -174,8 +180,7 @@ def scan_corpus(spark, sf_dir):
     Which file a document lands in is up to the tasks that write, so places are given relative to the
     first tagged line of the document.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/passagemill-corpus"
-    root = f"{folder}/corpus-{uuid4().hex}"
+    root = scratch(spark)
     lines = F.transform(
         F.split("text", "\n"),
         lambda value, pos: F.when(pos % 5 == 4, value).otherwise(F.concat(F.lit(" \t@@"), F.col("doc_id"), F.lit(" "), value)),
@@ -271,8 +276,10 @@ def audit(spark, sf_dir):
 
 def corpus_to_datasets(spark, sf_dir):
     """Tagged lines and source lines to records, with the side each record goes to."""
-    labelled = label_split(_merged_lines(spark, sf_dir), by=SPLIT_BY)
-    return flat(format_conversations(labelled, keep=["split", "sequence"]), "split", "sequence")
+    lines = as_file_lines(tagged_lines(spark, sf_dir))
+    prepared = prepare_records(lines, document_files(spark, sf_dir), sources(spark, sf_dir), scratch(spark))
+    sides = [prepared.side(name).withColumn("split", F.lit(name)) for name in ("train", "eval")]
+    return flat(union_batches(sides), "split")
 
 
 QUERIES = {
