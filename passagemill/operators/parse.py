@@ -39,7 +39,7 @@ def parse_lines(df: DataFrame, column: str = "line") -> DataFrame:
     start = len(MARKER) + 1
     return df.where(has_id(line)).select(
         F.substring(line, F.lit(start), end - start).alias("id"),
-        F.substring(line, end + 1, F.length(line)).alias("content"),
+        F.substring(line, end + 1, F.lit(2**31 - 1)).alias("content"),
         *[c for c in df.columns if c != column],
     )
 

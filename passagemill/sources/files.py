@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from passagemill.functions.text import strip_ws
-from passagemill.operators.parse import has_id, is_marked
+from passagemill.operators.parse import MARKER, has_id, is_marked
 
 # Fixed value: distance between the sequence numbers of the first lines of consecutive files.
 SEQUENCE_GAP = 2_000_000
 
 BLOCK = ["uri", "task", "block_start", "block_length"]
+_PLAINLY_TAGGED = rf"^[\t-\r\x1c-\x20]*+{MARKER}[\x21-\x7e]*+ [\t-\r\x1c-\x20]*+[\x21-\x7e]"
 _SCAN_OPTIONS = {
     "recursiveFileLookup": "true",
     "pathGlobFilter": "*.[tT][xX][tT]",
@@ -100,17 +101,22 @@ def file_blocks(lines: DataFrame) -> DataFrame:
     so a file is UTF-8 if all lines of all its blocks are; otherwise all of it is Latin-1.
     """
     value = F.col("value")
-    ascii_only = F.length(value) == F.octet_length(value)
-    as_utf8 = strip_ws(value)
-    as_latin1 = F.when(ascii_only, as_utf8).otherwise(strip_ws(_latin1(value)))
+    as_utf8, as_latin1 = strip_ws(value), strip_ws(_latin1(value))
+    # Most lines tell without decoding: no marker at all, or marker, id and text that starts in ASCII.
+    untagged = ~F.contains(value, F.lit(MARKER))
+    plain = F.rlike(value, F.lit(_PLAINLY_TAGGED))
+
+    def count(test: Column) -> Column:
+        return F.count_if(F.when(untagged, False).when(plain, True).otherwise(test))
+
     blocks = lines.groupBy(*BLOCK).agg(
         F.min("pos").alias("first_pos"),
         F.count(F.lit(1)).alias("n_lines"),
         F.bool_and(F.is_valid_utf8(value)).alias("valid"),
-        F.count_if(is_marked(as_utf8)).alias("marked_utf8"),
-        F.count_if(is_marked(as_latin1)).alias("marked_latin1"),
-        F.count_if(is_marked(as_utf8) & has_id(as_utf8)).alias("parsed_utf8"),
-        F.count_if(is_marked(as_latin1) & has_id(as_latin1)).alias("parsed_latin1"),
+        count(is_marked(as_utf8)).alias("marked_utf8"),
+        count(is_marked(as_latin1)).alias("marked_latin1"),
+        count(is_marked(as_utf8) & has_id(as_utf8)).alias("parsed_utf8"),
+        count(is_marked(as_latin1) & has_id(as_latin1)).alias("parsed_latin1"),
     )
     whole_file = Window.partitionBy("uri")
     before = whole_file.orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
