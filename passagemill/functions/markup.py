@@ -102,7 +102,7 @@ def visible_text(markup: str) -> str:
     try:
         parser.feed(markup)
         parser.close()
-    except (AssertionError, ValueError):
+    except Exception:
         return markup
     return "".join(parser.parts)
 

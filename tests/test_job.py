@@ -3,10 +3,13 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from passagemill import schemas
-from passagemill.plans.job import NoDataError, build_datasets, run_job
+from passagemill.__main__ import main
+from passagemill.plans.job import NoDataError, build_datasets, prepare_records, run_job
+from passagemill.sinks import in_shuffled_order
+from passagemill.sources.files import list_files, read_lines
+from passagemill.sources.metadata import scan_sources
 
 PROMPT = "Given the following example text, use dialectal markers to identify the country of origin: "
 
@@ -125,3 +128,23 @@ def test_empty_stages_stop_the_job(spark, tmp_path, text, source, message):
     with pytest.raises(NoDataError, match=message):
         run_job(spark, str(tmp_path / "c"), str(tmp_path / "s.txt"), str(tmp_path / "o"))
     assert not (tmp_path / "o_train.parquet").exists()
+
+
+def test_each_side_reads_its_slices_and_shuffles_once(spark, tmp_path):
+    root, sources = corpus(tmp_path)
+    prepared = prepare_records(
+        read_lines(spark, root), list_files(spark, root), scan_sources(spark, sources), str(tmp_path / "staging"),
+        scanned=True,
+    )
+    plan = in_shuffled_order(prepared.side("train").drop("slice"), 4)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slice" in plan
+    assert "LessThan(shuffle_key" in plan
+    assert plan.count("Exchange") == 1
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    root, sources = corpus(tmp_path)
+    monkeypatch.setattr("sys.argv", ["passagemill", "--corpus", root, "--sources", sources, "--output", str(tmp_path / "o")])
+    main()
+    assert "rows_after_join" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "o_train.parquet")).count() > 0
