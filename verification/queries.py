@@ -28,11 +28,17 @@ from passagemill.sources.files import number_lines as number_file_lines
 BLOCK_LINES = 40
 
 
+_splits: dict[str, int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table. One that has fewer splits than the session has cores is spread over the cores."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
     cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if _splits[path] >= cores else df.repartition(cores)
 
 
 def documents(spark, sf_dir) -> DataFrame:
@@ -58,7 +64,7 @@ def as_file_lines(lines: DataFrame) -> DataFrame:
     """Document lines in the shape of a file scan: a document is a file, cut into blocks of lines."""
     start = F.floor(F.col("pos") / BLOCK_LINES) * BLOCK_LINES
     return lines.select(
-        F.col("doc_id").cast("string").alias("uri"), F.lit(0).alias("task"), start.alias("block_start"),
+        F.col("doc_id").cast("string").alias("uri"), F.col("doc_id").alias("task"), start.alias("block_start"),
         F.lit(BLOCK_LINES).alias("block_length"), F.col("pos").cast("long").alias("pos"), "value",
     )
 
