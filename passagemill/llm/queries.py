@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.llm import simhash
+from passagemill.llm import line_rules, mixing, quality, simhash, site_lines, url_filter
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +19,40 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash,)}
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.clean_documents(table(spark, sf_dir, "documents")).drop("cleaned_text")
+
+
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, url_filter.RULE_SCHEMA)
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"), rules)
+
+
+def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    lines = pages.select("page_id", F.nullif(url_filter.url_host(F.col("url")), F.lit("")).alias("site"), site_lines.html_lines(F.col("html")).alias("lines"))
+    kept = site_lines.drop_boilerplate(lines)
+    n = lambda column: F.size(column).cast("long")
+    return kept.select(
+        "page_id", "site", n("lines").alias("n_lines"), (n("lines") - n("kept_lines")).alias("n_dropped"),
+        F.md5(F.array_join("kept_lines", "\n").cast("binary")).alias("kept_md5"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_importance_resampling, op4_line_rules, op5_temperature_mixing, op7_redirect_equivalence, op10_site_lines,
+    )
+}
 
 #: For DuckDB, where SQL can state the result.
 ORACLE: dict[str, str] = {}
