@@ -1,30 +1,58 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read back as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read back as the next one's input.
+
+Rows without doc_id: judged one by one by the classifier and the mixing, never copies nor contaminated. Rows that share a
+doc_id are copies together and contaminated together.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from passagemill.llm import simhash
+from passagemill.llm import decontaminate, mixing, quality, simhash, token_files
+from passagemill.llm.queries import END_ID, default_tokenizer
 from passagemill.llm.shared import store
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Low-quality and toxic documents go (op2)."""
+    return quality.keep_resampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id. Rows without an id stay."""
+    """One document of each group of near-duplicates stays, the one with the smallest doc_id (op1)."""
     found = simhash.near_duplicates(docs)
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    copies = store(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, re-parameterised or not, go (op3)."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    named = store(found.select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated_ids")
+    return docs.join(named, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, those of rare sources again up to the limit on passes (op5)."""
+    return mixing.repeat_documents(docs)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of each row of the mixture, read back from the token files (op6)."""
+    return token_files.token_digest(docs, default_tokenizer(), END_ID)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("simhash", deduplicate),
+    ("quality_classifier", classify),
+    ("simhash_near_dedup", deduplicate),
+    ("benchmark_decontamination", decontaminated),
+    ("source_mixing", mixed),
+    ("token_files", tokenised),
 ]
 
-#: No SQL states the fingerprints and the tokenizer; tests hold ``run`` against brute force.
+#: No SQL states the fingerprints and the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -120,7 +120,8 @@ def plan_sources(
         "n_blocks", F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long")
     )
     plan = store(plan.withColumn("rest", ((F.col("passes") - F.col("whole")) * F.col("tokens")).cast("long")), "plan")
-    return plan.join(_cuts(own, plan), "source_key", "left").withColumn("cut", F.coalesce("cut", F.lit(-1.0))).drop("rest")
+    cut = plan.join(_cuts(own, plan), "source_key", "left").withColumn("cut", F.coalesce("cut", F.lit(-1.0))).drop("rest")
+    return store(cut, "sources")  # its size is known from here on: Spark broadcasts it if it is small
 
 
 def _cuts(own: DataFrame, plan: DataFrame) -> DataFrame:

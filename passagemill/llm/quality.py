@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from passagemill.llm.shared import BATCH_BYTES, settings, store, store_from_python
+from passagemill.llm.shared import BATCH_BYTES, settings, store_from_python
 
 LABELLED = 50_000
 BUCKETS = 1 << 18
@@ -142,13 +142,13 @@ def _scores(text: Column, ratios: np.ndarray) -> Column:
     return score(text)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, noise (unit), low, toxic: log likelihood of each other class minus the target's, stored."""
+def score_documents(docs: DataFrame, labels: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, noise (unit), low, toxic (log likelihood of each other class minus the target's) and what is carried, stored."""
     ratios = fit(docs, labels)
     bits = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(SEED)), 11)
     noise = ((bits + 0.5) / F.lit(float(1 << 53))).alias("noise")
-    scored = docs.select("doc_id", noise, _scores(F.col("text"), ratios).alias("s"))
-    return store_from_python(scored.select("doc_id", "noise", "s.low", "s.toxic"), "scores")
+    scored = docs.select("doc_id", noise, _scores(F.col("text"), ratios).alias("s"), *carried)
+    return store_from_python(scored.select("doc_id", "noise", "s.low", "s.toxic", *scored.columns[3:]), "scores")
 
 
 def fit_shares(scored: DataFrame, tolerance: float = 1e-4, most: int = 30) -> tuple[float, float, float]:
@@ -202,13 +202,21 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     empty texts say nothing: their log weight is 0. Rows without doc_id are sampled like others. Repeated rows have equal keys:
     they stay or go together. Without target labels every weight is 0 in the log and all documents are kept. Empty input: no rows.
     """
-    scored = score_documents(docs, labels)
+    return _sampled(score_documents(docs, labels)).select("doc_id", "log_weight", "sample_key", "kept")
+
+
+def keep_resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that :func:`resample` keeps, columns unchanged. Rows are judged one by one, also those without doc_id."""
+    return _sampled(score_documents(docs, labels, F.struct("*").alias("row"))).where("kept").select("row.*")
+
+
+def _sampled(scored: DataFrame) -> DataFrame:
     shares = fit_shares(scored)
-    weight = (-_joint(shares)[0]).alias("log_weight")
+    weight = -_joint(shares)[0]
     gumbel = -F.ln(-F.ln("noise"))
-    keyed = scored.select("doc_id", weight, (weight + gumbel).alias("sample_key"))
-    keyed = store(keyed.withColumn("key", F.round(F.col("sample_key") * KEY_STEPS).cast("long")), "sample_keys")
-    expected = keyed.agg(F.sum(F.exp(F.least(F.col("log_weight") + F.lit(float(np.log(shares[0]))), F.lit(0.0))))).first()[0]
-    cut = kth_largest(keyed, round(expected or 0))
-    kept = F.lit(True) if cut is None else F.col("key") >= cut
-    return keyed.select("doc_id", "log_weight", "sample_key", kept.alias("kept"))
+    keyed = scored.withColumn("log_weight", weight).withColumn("sample_key", F.col("log_weight") + gumbel)
+    keyed = keyed.withColumn("key", F.round(F.col("sample_key") * KEY_STEPS).cast("long"))
+    posterior = F.exp(F.least(F.col("log_weight") + F.lit(float(np.log(shares[0]))), F.lit(0.0)))
+    expected = keyed.agg(F.sum(posterior)).first()[0]
+    cut = kth_largest(keyed.select("key"), round(expected or 0))
+    return keyed.withColumn("kept", F.lit(True) if cut is None else F.col("key") >= cut)
