@@ -19,7 +19,7 @@ MAX_MARKS_PER_WORD = 0.5
 NAV_SEPARATORS = 2
 NAV_SHARE = 0.2
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-TERMINAL = r"[.!?:;…。！？][\"'”’»)\]]*$"
+TERMINAL = r"[.!?:;…。！？][\"'”’»)\]]*\z"
 # Fixed value: phrases of lines that belong to a site, not to its text.
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "enable javascript", "licensed under", "log in to", "powered by",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagemill.llm import chat, decontaminate, hilbert, line_rules, mixing, quality, simhash, site_lines, token_files, url_filter
+from passagemill.llm.oracle import ORACLE  # noqa: F401  the same queries for DuckDB, where SQL can state them
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -89,6 +90,3 @@ QUERIES = {
         op6_token_files, op7_redirect_equivalence, op8_chat_segments, op9_hilbert_shards, op10_site_lines,
     )
 }
-
-#: For DuckDB, where SQL can state the result.
-ORACLE: dict[str, str] = {}
