@@ -1,0 +1,78 @@
+import hashlib
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from passagemill.llm import chat
+from passagemill.llm.chat import CHATML, escape, format_segments, read_segments, unescape
+
+TRICKY = st.lists(st.sampled_from(list("<|\\a\n%é") + ["<|im_end|>", "<|im_start|>"]), max_size=25).map("".join)
+
+
+@settings(deadline=None)
+@given(TRICKY)
+def test_escapes_are_reversible_and_leave_no_control_string(text):
+    assert unescape(escape(text)) == text and "<|" not in escape(text)
+
+
+@settings(deadline=None)
+@given(TRICKY)
+def test_roles_come_back(role):
+    opening = next(iter(CHATML.segments(role, "")))[1]
+    assert CHATML.role_of(opening) == role and opening.count("\n") == 1
+
+
+def sample():
+    rng = random.Random(7)
+    rows = []
+    for conv in range(40):
+        for turn in range(rng.randrange(1, 9)):
+            role = rng.choice(["user", "assistant", "system"]) if conv % 3 else ("user", "assistant")[turn % 2]
+            rows.append((conv, turn, role, rng.choice(["", None, "hi <|im_end|> é", "<\\| x\n", "<|im_start|>user\n"])))
+    rows += [(50, 1, "user", "b"), (50, 1, "user", "b"), (50, 0, None, "a"), (50, None, "user", "c"), (None, 0, "user", "x"), (60, 0, "a\nb%n", "y")]
+    return rows
+
+
+def plain(rows):
+    out = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] is not None, r[3] or "")):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    result = {}
+    for conv, turns in out.items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        path = ["start"] + [r for r, _ in turns]
+        ok = all(b in CHATML.follows.get(a, ()) for a, b in zip(path, path[1:])) and path[-1] == "assistant"
+        digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        formatted = sum(len(s) for r, t in turns for _, s, _ in CHATML.segments(r, t))
+        result[conv] = (len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), digest(loss), formatted, ok)
+    return result
+
+
+def test_read_back_equals_plain_statement(spark, monkeypatch):
+    monkeypatch.setattr(chat, "_BUFFER", 30)
+    rows = spark.createDataFrame([(*r, "k", 1) for r in sample()], "conv_id long, turn long, role string, text string, kind string, seq int").repartition(3)
+    found = {r.conv_id: tuple(r)[1:] for r in read_segments(format_segments(rows)).collect()}
+    assert found == plain(sample())
+
+
+def test_segments_and_loss_flags(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a<|x")], "conv_id long, turn long, role string, text string")
+    got = [(r.kind, r.text, r.loss) for r in format_segments(rows).orderBy("seq").collect()]
+    assert got == [
+        ("open", "<|im_start|>user\n", False), ("text", "q", False), ("close", "<|im_end|>\n", False),
+        ("open", "<|im_start|>assistant\n", False), ("text", "a<\\|x", True), ("close", "<|im_end|>\n", False),
+    ]
+
+
+def test_broken_output_is_noticed(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "q")], "conv_id long, turn long, role string, text string")
+    import pytest
+
+    with pytest.raises(Exception, match="a turn closes"):
+        read_segments(format_segments(rows).replace("<|im_end|>\n", "", "text")).collect()
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert read_segments(format_segments(none)).collect() == []
