@@ -19,7 +19,7 @@ from verification.queries import QUERIES
 
 HEADLINE = (
     "corpus_to_datasets", "clean_text", "clean_tokenised", "apply_rules", "strip_markup", "clean_pages", "number_lines",
-    "scan_corpus", "attach_sources", "attach_duplicates", "exact_split", "format_conversations", "parse_lines",
+    "scan_corpus", "attach_sources", "attach_duplicates", "exact_split", "format_conversations", "parse_lines", "audit_counts", "run_job",
 )
 
 

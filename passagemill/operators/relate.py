@@ -15,6 +15,9 @@ HOT_SHARE = 1e-4
 # Size up to which a table is broadcast.
 BROADCAST_BYTES = 256 << 20
 
+# Copies of one row that are unfolded at once.
+COPY_RUN = 1 << 16
+
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the rows of ``df`` take at most ``limit`` bytes. Runs a job: meant for stored tables."""
@@ -78,13 +81,19 @@ def attach_sources(
     return left.join(right, ["id", "content_part", "source_part"]).select(*columns)
 
 
-def number_copies(df: DataFrame, name: str = "copy") -> DataFrame:
+def number_copies(df: DataFrame, name: str = "copy", run: int = COPY_RUN) -> DataFrame:
     """Number the exact copies of each row from 1, which makes every row distinct.
 
-    Copies are counted before the shuffle and unfolded after it, so they never meet in one task.
+    Copies are counted before the shuffle and unfolded after it. A row with more than ``run`` copies is cut into runs
+    of that many, which are dealt out before they are unfolded: no array or task holds more of a row than its runs.
     """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.withColumn(name, F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    few = counted.where(F.col("_copies") <= run)
+    few = few.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(name))
+    runs = F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {run}"))).alias("_run")
+    many = counted.where(F.col("_copies") > run).select("*", runs).repartition("_run", *df.columns)
+    first, last = F.col("_run") * run + 1, F.least((F.col("_run") + 1) * run, F.col("_copies"))
+    return few.union(many.select(*df.columns, F.explode(F.sequence(first, last)).alias(name)))
 
 
 def union_batches(batches: list[DataFrame]) -> DataFrame:
@@ -95,4 +104,4 @@ def union_batches(batches: list[DataFrame]) -> DataFrame:
 def ordered_merge(merged: DataFrame) -> DataFrame:
     """Merged rows in corpus order; rows of one line follow their source columns."""
     ties = [c for c in ("words", "genre", "year", "source", "title", "pubInfo") if c in merged.columns]
-    return merged.orderBy("sequence", *ties)
+    return merged.orderBy("file_order", "line_num", *ties)

@@ -17,8 +17,13 @@ _BUCKET_DIGITS = 4  # hex digits: 65,536 buckets
 
 
 def shuffle_key(by: Sequence[str], seed: int = SEED) -> Column:
-    """Order key of the shuffle: a hash of the seed and the columns that identify a row."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in by]))
+    """Order key of the shuffle: a hash of the seed and the columns that identify a row.
+
+    Each value goes in with its length, a null as ``-``, so that different rows never spell the same text.
+    """
+    values = [F.col(c).cast("string") for c in by]
+    spelled = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+    return F.md5(F.concat(F.lit(f"{seed}:"), *spelled))
 
 
 def key_position() -> Column:

@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from passagemill.functions.text import clean_text
 from passagemill.operators.conversations import format_conversations
@@ -14,12 +15,15 @@ from passagemill.operators.parse import parse_lines, parse_sources, source_rejec
 from passagemill.operators.relate import attach_sources, fits_broadcast, number_copies
 from passagemill.operators.split import KEY, SEED, TRAIN_RATIO, exact_split, first_eval_key, key_position, shuffle_key
 from passagemill.plans.audit import audit_counts
-from passagemill.sinks import preview, write_datasets
-from passagemill.sources.files import file_blocks, list_files, number_lines, place_blocks, read_lines, scan_corpus
+from passagemill.schemas import MERGED, conform
+from passagemill.sinks import preview, remove, require_free, write_datasets
+from passagemill.sources.files import (
+    changed_files, file_blocks, file_states, list_files, number_lines, place_blocks, read_lines, scan_corpus,
+)
 from passagemill.sources.metadata import read_metadata_lines
 
 # What tells two merged rows apart: the line, and the source row joined to it.
-SPLIT_BY = ("sequence", "words", "genre", "year", "source", "title", "pubInfo", "copy")
+SPLIT_BY = ("file_order", "line_num", "words", "genre", "year", "source", "title", "pubInfo", "copy")
 SLICE_MARGIN = 0.01
 TARGET_FILE_BYTES = 512 << 20
 
@@ -28,6 +32,10 @@ class NoDataError(Exception):
     """A stage of the job has no rows."""
 
 
+class CorpusChangedError(Exception):
+    """A corpus file was added, removed or rewritten between the passes over the corpus."""
+
+
 @dataclass
 class Datasets:
     train: DataFrame
@@ -150,7 +158,7 @@ def prepare_records(
     merged = assemble(numbered, source_table, how, mode)
     # Stored in three slices: surely train, around the cut, surely eval. Each side reads its own
     # slices only; which rows it takes is decided by the exact key.
-    keyed = merged.withColumn(KEY, shuffle_key(SPLIT_BY, seed))
+    keyed = conform(merged, StructType([*MERGED, StructField("copy", LongType())])).withColumn(KEY, shuffle_key(SPLIT_BY, seed))
     slices = sum(((key_position() >= e).cast("int") for e in _slice_edges(ratio)), F.lit(0))
     records = stored(format_conversations(keyed.withColumn("slice", slices), keep=[KEY, "slice"]), "records", "slice")
     n_records = _require(records.count(), "no line has a source")
@@ -168,19 +176,25 @@ def prepare_records(
 def run_job(
     spark: SparkSession, corpus: str, sources: str, output_base: str, ratio: float = TRAIN_RATIO,
     seed: int = SEED, mode: str = "parser", target_file_bytes: int = TARGET_FILE_BYTES,
-    write_mode: str = "errorifexists",
+    write_mode: str = "errorifexists", keep_staging: bool = True,
 ) -> JobResult:
     """Run everything and write ``<output_base>_train.parquet`` and ``<output_base>_eval.parquet``.
 
-    Tables stored on the way stay in ``JobResult.staging``. The corpus is read twice; with block and
+    Tables stored on the way stay in ``JobResult.staging`` unless ``keep_staging`` is false. A corpus file that is
+    added, removed or rewritten while the job reads stops it: ``CorpusChangedError``. The corpus is read twice; with block and
     source tables that fit a broadcast its text is shuffled once, into output order.
     """
+    require_free(spark, output_base, write_mode)
     staging = staging_folder(spark, f"{output_base}_staging")
+    file_states(spark, corpus).write.parquet(f"{staging}/files")
     metadata = read_metadata_lines(spark, sources)
     files = list_files(spark, corpus)
     prepared = prepare_records(
         read_lines(spark, corpus), files, parse_sources(metadata), staging, ratio, seed, mode, scanned=True
     )
+    changed = changed_files(spark.read.parquet(f"{staging}/files"), file_states(spark, corpus)).limit(3).collect()
+    if changed:
+        raise CorpusChangedError("the corpus changed while it was read: " + ", ".join(r.uri for r in changed))
     stored_bytes = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{staging}/records/*")
         .agg(F.sum("length")).first()[0]
@@ -201,4 +215,6 @@ def run_job(
     }
     audit = spark.createDataFrame(list(counts.items()), "metric string, value long")
     shown = preview(spark.read.parquet(train_path)) if train_path in written else None
+    if not keep_staging:
+        remove(spark, staging)
     return JobResult(paths, audit, shown, staging)

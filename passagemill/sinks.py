@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagemill.operators.split import KEY, key_position
+from passagemill.schemas import RECORD, conform
 
 # Fixed value: rows of a preview.
 PREVIEW_ROWS = 5
@@ -22,20 +23,47 @@ def in_shuffled_order(df: DataFrame, partitions: int, low: float = 0.0, high: fl
     return df.repartitionById(partitions, slot).sortWithinPartitions(KEY).drop(KEY)
 
 
+def _location(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def require_free(spark: SparkSession, base: str, mode: str) -> None:
+    """Raise if the mode forbids to write over what is there."""
+    if mode in ("error", "errorifexists"):
+        for side in ("train", "eval"):
+            files, where = _location(spark, f"{base}_{side}.parquet")
+            if files.exists(where):
+                raise FileExistsError(f"{base}_{side}.parquet")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _location(spark, path)
+    files.delete(where, True)
+
+
 def write_datasets(
     train: DataFrame, held_out: DataFrame, base: str, ratio: float, partitions: int, mode: str = "errorifexists"
 ) -> list[str]:
-    """Write ``<base>_train.parquet`` and ``<base>_eval.parquet``; an empty side is not written.
+    """Write ``<base>_train.parquet`` and ``<base>_eval.parquet``, in the declared schema; an empty side is not written.
+
+    With ``overwrite`` an earlier run's file of an empty side is removed; with ``errorifexists`` both paths are looked
+    at before either is written.
 
     Both inputs carry ``shuffle_key``. ``partitions`` is the number of files of both sides together.
     """
+    require_free(train.sparkSession, base, mode)
     written = []
     for df, side, low, high in ((train, "train", 0.0, ratio), (held_out, "eval", ratio, 1.0)):
+        path = f"{base}_{side}.parquet"
         if df.isEmpty():
+            if mode == "overwrite":
+                remove(df.sparkSession, path)
             continue
         files = max(1, round(partitions * (high - low)))
-        path = f"{base}_{side}.parquet"
-        in_shuffled_order(df, files, low, high).write.mode(mode).option("compression", "snappy").parquet(path)
+        ordered = conform(in_shuffled_order(df, files, low, high), RECORD)
+        ordered.write.mode(mode).option("compression", "snappy").parquet(path)
         written.append(path)
     return written
 

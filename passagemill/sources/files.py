@@ -9,7 +9,8 @@ scan task reads of one file), built in a first pass:
          +------ join ---+  ->  number_lines
 
 The second pass must see the same blocks as the first. The block keys carry the task and the byte
-range, and a line that finds no block stops the job instead of getting a wrong number.
+range, and a tagged line that finds no block stops the job instead of getting a wrong number. Files that
+shrink, grow or vanish between the passes show in ``changed_files``, which ``run_job`` consults.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ _PLAINLY_TAGGED = rf"^[\t-\r\x1c-\x20]*+{MARKER}[\x21-\x7e]*+ [\t-\r\x1c-\x20]*+
 _SCAN_OPTIONS = {
     "recursiveFileLookup": "true",
     "pathGlobFilter": "*.[tT][xX][tT]",
-    "ignoreCorruptFiles": "true",
-    "ignoreMissingFiles": "true",
+    # A file that cannot be read, or is gone, fails the job, whatever the session's setting: no lines are lost unseen.
+    "ignoreCorruptFiles": "false",
+    "ignoreMissingFiles": "false",
 }
 
 
@@ -64,6 +66,21 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def file_states(spark: SparkSession, root: str) -> DataFrame:
+    """uri, length and modified of the ``.txt`` files under ``root``; only the listing is read."""
+    listed = spark.read.format("binaryFile").options(**_SCAN_OPTIONS).load(root)
+    return listed.select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
+def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:
+    """uri of each file that was added, removed or rewritten between two ``file_states``."""
+    same = ["uri", "length", "modified"]
+    return before.select(*same).exceptAll(after.select(*same)).union(after.select(*same).exceptAll(before.select(*same))).select("uri").distinct()
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every line of the text files under ``path``, as raw bytes in a string, with its block.
 
@@ -164,7 +181,9 @@ def number_lines(lines: DataFrame, blocks: DataFrame, map_side: bool = False) ->
     shuffled at all. Otherwise the lines are shuffled by block and ranked inside it; a block is never
     larger than a file split.
     """
-    decoded = decode_fallback(lines, F.broadcast(blocks) if map_side else blocks)
+    # A line without the bytes of the marker is untagged in either encoding: it need not meet its block.
+    told = lines.where(F.contains("value", F.lit(MARKER)))
+    decoded = decode_fallback(told, F.broadcast(blocks) if map_side else blocks)
     marked = decoded.withColumn("line", strip_ws(F.col("value"))).where(is_marked(F.col("line")))
     if map_side:
         # Lower 33 bits of the id: row position in the task.

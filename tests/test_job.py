@@ -1,12 +1,13 @@
 """The whole job on temporary trees."""
 
+import os
 import re
 
 import pytest
 
 from passagemill import schemas
 from passagemill.__main__ import main
-from passagemill.plans.job import NoDataError, build_datasets, prepare_records, run_job
+from passagemill.plans.job import CorpusChangedError, NoDataError, build_datasets, prepare_records, run_job
 from passagemill.sinks import in_shuffled_order
 from passagemill.sources.files import list_files, read_lines
 from passagemill.sources.metadata import scan_sources
@@ -142,6 +143,58 @@ def test_each_side_reads_its_slices_and_shuffles_once(spark, tmp_path):
     assert plan.count("Exchange") == 1
 
 
+@pytest.mark.parametrize("change", ["removed", "shortened", "lengthened", "added"])
+def test_a_corpus_that_changes_stops_the_job(spark, tmp_path, monkeypatch, change):
+    root, sources = corpus(tmp_path, n=5)
+    target = tmp_path / "corpora" / ("c.txt" if change == "added" else "a.txt")
+
+    def prepared_then_changed(*args, **options):
+        result = prepare_records(*args, **options)
+        text = "" if change == "added" else target.read_text()
+        target.unlink() if change == "removed" else target.write_text(text[:40] if change == "shortened" else text + "\n@@1 more")
+        return result
+
+    monkeypatch.setattr("passagemill.plans.job.prepare_records", prepared_then_changed)
+    with pytest.raises(CorpusChangedError, match=target.name):
+        run_job(spark, root, sources, str(tmp_path / "o"))
+    assert not (tmp_path / "o_train.parquet").exists()
+
+
+def test_a_file_that_vanishes_is_an_error(spark, tmp_path):
+    root, _ = corpus(tmp_path, n=5)
+    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    lines = read_lines(spark, root)
+    (tmp_path / "corpora" / "a.txt").unlink()
+    try:
+        with pytest.raises(Exception, match="a.txt"):
+            lines.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreMissingFiles")
+
+
+def test_outputs_agree_with_the_last_run(spark, tmp_path):
+    root, sources = corpus(tmp_path, n=20)
+    base = str(tmp_path / "o")
+    first = run_job(spark, root, sources, base, keep_staging=False)
+    assert len(first.paths) == 2 and not os.path.exists(first.staging)
+    with pytest.raises(FileExistsError):
+        run_job(spark, root, str(tmp_path / "none.txt"), base)  # before anything is read
+    (tmp_path / "corpora" / "a.txt").write_text("@@1 x")
+    (tmp_path / "corpora" / "sub" / "b.TXT").unlink()
+    second = run_job(spark, root, sources, base, write_mode="overwrite")
+    assert second.paths == [f"{base}_eval.parquet"] and not os.path.exists(f"{base}_train.parquet")
+    schema = spark.read.parquet(f"{base}_eval.parquet").schema.simpleString()
+    assert schema == schemas.RECORD.simpleString()
+
+
+def test_colons_in_sources_do_not_make_rows_alike(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.txt").write_text("@@1 x")
+    (tmp_path / "s.txt").write_text("1 2 3 4 5 a b:c\n1 2 3 4 5 a:b c\n")
+    result = run_job(spark, str(tmp_path / "c"), str(tmp_path / "s.txt"), str(tmp_path / "o"), ratio=0.5)
+    assert [spark.read.parquet(p).count() for p in result.paths] == [1, 1]
+
+
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
     root, sources = corpus(tmp_path)
     monkeypatch.setattr("sys.argv", ["passagemill", "--corpus", root, "--sources", sources, "--output", str(tmp_path / "o")])

@@ -9,7 +9,7 @@ from passagemill import schemas
 from passagemill.operators.conversations import format_conversations
 from passagemill.operators.parse import marker_lines, parse_lines, parse_sources, source_rejects
 from passagemill.operators.relate import attach_sources, fits_broadcast, number_copies, ordered_merge
-from passagemill.operators.split import exact_split, label_split
+from passagemill.operators.split import exact_split, label_split, shuffle_key
 from passagemill.sinks import in_shuffled_order
 
 
@@ -104,7 +104,7 @@ def test_fits_broadcast(spark):
 def test_exact_split(spark, n, ratio):
     df = spark.range(n, numPartitions=3).withColumnRenamed("id", "sequence")
     train, rest = (sorted((r.shuffle_key, r.sequence) for r in side.collect()) for side in exact_split(df, ratio))
-    ranked = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i in range(n))
+    ranked = sorted((hashlib.md5(f"42:{len(str(i))}:{i}".encode()).hexdigest(), i) for i in range(n))
     cut = int(n * ratio)
     assert train == ranked[:cut] and rest == ranked[cut:]
 
@@ -150,3 +150,15 @@ def test_records(spark):
     assert [m.value for m in custom.conversations] == ["Say: text", "T"]
     with pytest.raises(ValueError, match="year"):
         format_conversations(df.drop("year"))
+
+
+def test_shuffle_key_tells_rows_apart(spark):
+    rows = [("a b:c", "d"), ("a b", "c:d"), (None, "d"), ("", "d"), ("-", "d"), ("d", None), ("1:d", "")]
+    keys = spark.createDataFrame(rows, "title string, pubInfo string").select(shuffle_key(["title", "pubInfo"])).collect()
+    assert len({k[0] for k in keys}) == len(rows)
+
+
+def test_copies_are_unfolded_in_runs(spark):
+    df = spark.createDataFrame([("a", None)] * 95 + [("b", "x")] * 10 + [("c", "x")] * 11, "id string, copies string").repartition(3)
+    found = number_copies(df, run=10).collect()
+    assert sorted((r.id, r.copy) for r in found) == [("a", i) for i in range(1, 96)] + [("b", i) for i in range(1, 11)] + [("c", i) for i in range(1, 12)]

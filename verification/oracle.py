@@ -82,8 +82,8 @@ SOURCES = f"""
         (SELECT regexp_extract(line, {q(_FIELD_PATTERN)}, {_FIELDS}) AS p FROM {SOURCE_PARTS} WHERE fields >= 7))"""
 LABEL_SOURCES = """
     (SELECT CAST(doc_id AS VARCHAR) AS id, CAST(quality AS VARCHAR) AS words, 'quality' AS genre, '2000' AS year,
-        'quality' AS source, 't' AS title, 'p' AS pubInfo FROM labels
-     UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(toxic AS VARCHAR), 'toxic', '2000', 'toxic', 't', 'p' FROM labels)"""
+        's' AS source, 't:u' AS title, 'p' AS pubInfo FROM labels
+     UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(toxic AS VARCHAR), 'toxic', NULL, 's', 't', 'u:p' FROM labels)"""
 SOURCE_COLUMNS = "s.words, s.genre, s.year, s.source, s.title, s.pubInfo"
 TOKENISED = (
     "(SELECT doc_id, "
@@ -128,9 +128,8 @@ RECORDS = f"""
 FLAT = "'human' AS from1, human AS value1, 'gpt' AS from2, gpt AS value2, CAST(2 AS BIGINT) AS messages"
 
 _CLEAN_CONTENT = clean("joined", "sequence", "content")
-SPLIT_KEY = (
-    "md5(concat_ws(':', '42', j.sequence, j.words, j.genre, j.year, j.source, j.title, j.pubInfo, j.copy))"
-)
+SPLIT_FIELDS = ["file_order", "line_num", "words", "genre", "year", "source", "title", "pubInfo", "copy"]
+SPLIT_KEY = "md5('42:' || " + " || ".join(f"coalesce(length(CAST(j.{f} AS VARCHAR)) || ':' || j.{f}, '-')" for f in SPLIT_FIELDS) + ")"
 # One source per id here, so every copy number is 1 and ``sequence`` identifies a merged row.
 CORPUS_TO_DATASETS = f"""
     WITH joined AS (SELECT c.*, {SOURCE_COLUMNS}, 1 AS copy FROM {CONTENT} c JOIN {SOURCES} s ON c.id = s.id),
@@ -185,15 +184,17 @@ ORACLE = {
     "attach_duplicates_salted": attach(CONTENT, LABEL_SOURCES),
     "ordered_merge": f"""SELECT sequence, id, genre, words FROM ({attach(CONTENT, LABEL_SOURCES)})
         ORDER BY sequence, words, genre""",
-    "exact_split": """SELECT doc_id, shuffle_key, CASE WHEN r <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'eval' END AS split
-        FROM (SELECT doc_id, md5('42:' || doc_id) AS shuffle_key, row_number() OVER (ORDER BY md5('42:' || doc_id)) AS r,
-            count(*) OVER () AS n FROM documents)""",
+    "exact_split": f"""SELECT * EXCLUDE (r, n), CASE WHEN r <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'eval' END AS split
+        FROM (SELECT *, row_number() OVER (ORDER BY shuffle_key) AS r, count(*) OVER () AS n FROM
+            (SELECT j.*, {SPLIT_KEY} AS shuffle_key FROM (SELECT *, CAST(1 AS BIGINT) AS copy FROM ({attach(CONTENT, LABEL_SOURCES)})) j))""",
     "format_conversations": f"""SELECT id, source, score,
         [{{'from': 'human', 'value': human}}, {{'from': 'gpt', 'value': gpt}}] AS conversations FROM {RECORDS}""",
     "format_conversations_flat": f"SELECT id, source, score, {FLAT} FROM {RECORDS}",
-    "union_batches": """SELECT doc_id, lang, n_chars FROM documents UNION ALL SELECT doc_id, lang, n_chars FROM documents
-        UNION ALL SELECT doc_id, 'label', CAST(quality AS BIGINT) FROM labels""",
+    "union_batches": """SELECT doc_id, lang, n_chars, source, text FROM documents
+        UNION ALL SELECT doc_id, lang, n_chars, source, text FROM documents
+        UNION ALL SELECT doc_id, 'label', CAST(quality AS BIGINT), CAST(toxic AS VARCHAR), '' FROM labels""",
     "preview": f"""SELECT source, '[2 messages]' AS conversations FROM {RECORDS} ORDER BY CAST(id AS BIGINT) LIMIT 5""",
     "audit_counts": AUDIT,
     "corpus_to_datasets": CORPUS_TO_DATASETS,
+    "run_job": f"SELECT * EXCLUDE (split) FROM ({CORPUS_TO_DATASETS})",
 }

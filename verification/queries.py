@@ -19,7 +19,7 @@ from passagemill.operators.parse import marker_lines, parse_lines, parse_sources
 from passagemill.operators.relate import attach_sources, number_copies, ordered_merge, union_batches
 from passagemill.operators.split import label_split
 from passagemill.plans.audit import audit_counts
-from passagemill.plans.job import SPLIT_BY, assemble, prepare_records, staging_folder
+from passagemill.plans.job import SPLIT_BY, assemble, prepare_records, run_job, staging_folder
 from passagemill.sinks import preview
 from passagemill.sources.files import decode_fallback as decode_lines
 from passagemill.sources.files import file_blocks, place_blocks, scan_corpus as scan_files
@@ -76,6 +76,9 @@ def document_files(spark, sf_dir) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``; only a local session may do without that setting."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return staging_folder(spark, "/tmp/passagemill")
 
 
@@ -98,13 +101,14 @@ def sources(spark, sf_dir) -> DataFrame:
 
 
 def label_sources(spark, sf_dir) -> DataFrame:
-    """Two sources for each labelled document, one per label."""
+    """Two sources for each labelled document, one per label; spelled with colons in a row, they are alike."""
     labels = table(spark, sf_dir, "labels")
     named = F.stack(F.lit(2), F.lit("quality"), F.col("quality"), F.lit("toxic"), F.col("toxic"))
     return labels.select("doc_id", named.alias("label", "mark")).select(
         F.col("doc_id").cast("string").alias("id"), F.col("mark").cast("string").alias("words"),
-        F.col("label").alias("genre"), F.lit("2000").alias("year"), F.col("label").alias("source"),
-        F.lit("t").alias("title"), F.lit("p").alias("pubInfo"),
+        F.col("label").alias("genre"), F.when(F.col("label") == "quality", "2000").alias("year"), F.lit("s").alias("source"),
+        F.when(F.col("label") == "quality", "t:u").otherwise("t").alias("title"),
+        F.when(F.col("label") == "quality", "p").otherwise("u:p").alias("pubInfo"),
     )
 
 
@@ -180,6 +184,15 @@ def decode_fallback(spark, sf_dir):
     )
 
 
+def tagged_files(spark, sf_dir) -> DataFrame:
+    """The texts with marks in front of their lines, to be written as text files."""
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda value, pos: F.when(pos % 5 == 4, value).otherwise(F.concat(F.lit(" \t@@"), F.col("doc_id"), F.lit(" "), value)),
+    )
+    return documents(spark, sf_dir).select(F.array_join(lines, "\n").alias("value"))
+
+
 def scan_corpus(spark, sf_dir):
     """The texts written as a tree of tagged text files, then scanned.
 
@@ -187,11 +200,7 @@ def scan_corpus(spark, sf_dir):
     first tagged line of the document.
     """
     root = scratch(spark)
-    lines = F.transform(
-        F.split("text", "\n"),
-        lambda value, pos: F.when(pos % 5 == 4, value).otherwise(F.concat(F.lit(" \t@@"), F.col("doc_id"), F.lit(" "), value)),
-    )
-    documents(spark, sf_dir).select(F.array_join(lines, "\n").alias("value")).write.text(root)
+    tagged_files(spark, sf_dir).write.text(root)
     parsed = parse_lines(scan_files(spark, root))
     document = Window.partitionBy("id")
     return parsed.select(
@@ -222,7 +231,9 @@ def merged_in_order(spark, sf_dir):
 
 
 def split(spark, sf_dir):
-    return label_split(documents(spark, sf_dir).select("doc_id"), by=["doc_id"])
+    """Whole merged rows, several sources to a line, with nulls and colons in them."""
+    merged = attach_sources(content(spark, sf_dir), number_copies(label_sources(spark, sf_dir)))
+    return label_split(merged, by=SPLIT_BY)
 
 
 def merged_documents(spark, sf_dir) -> DataFrame:
@@ -249,11 +260,12 @@ def records_flat(spark, sf_dir):
 
 
 def batches(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "lang", "n_chars")
-    return union_batches(
-        [docs, docs.select("n_chars", "doc_id", "lang"), table(spark, sf_dir, "labels").select(
-            "doc_id", F.lit("label").alias("lang"), F.col("quality").cast("long").alias("n_chars"))]
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "n_chars", "source", "text")
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.lit("label").alias("lang"), F.col("quality").cast("long").alias("n_chars"),
+        F.col("toxic").cast("string").alias("source"), F.lit("").alias("text"),
     )
+    return union_batches([docs, docs.select("n_chars", "text", "doc_id", "lang", "source"), labels])
 
 
 def first_records(spark, sf_dir):
@@ -288,6 +300,15 @@ def corpus_to_datasets(spark, sf_dir):
     return flat(union_batches(sides), "split")
 
 
+def job(spark, sf_dir):
+    """The texts as a tree of files and a metadata file, the public job over them, and both outputs read back."""
+    folder = scratch(spark)
+    tagged_files(spark, sf_dir).write.text(f"{folder}/corpora/part")
+    source_lines(spark, sf_dir).write.text(f"{folder}/sources")
+    result = run_job(spark, f"{folder}/corpora", f"{folder}/sources", f"{folder}/out", keep_staging=False)
+    return flat(union_batches([spark.read.parquet(path) for path in result.paths]))
+
+
 QUERIES = {
     "marker_filter": marker_filter,
     "parse_lines": parsed_lines,
@@ -316,4 +337,5 @@ QUERIES = {
     "preview": first_records,
     "audit_counts": audit,
     "corpus_to_datasets": corpus_to_datasets,
+    "run_job": job,
 }
