@@ -94,11 +94,12 @@ def shard_rows(df: DataFrame, dimensions: list[str], n_shards: int, tie: str, bi
     total = int(before[-1])
     offsets = df.sparkSession.createDataFrame([(s["part"], int(b)) for s, b in zip(sizes, before)], "part long, before long")
     place = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    ranked = in_order.withColumn("part", part).join(F.broadcast(offsets), "part").select("row.*", "curve_index", place.alias("place"))
+    ranked = in_order.withColumn("part", part).join(F.broadcast(offsets), "part").select("row", "curve_index", place.alias("place"))
     # shard s starts at ceil(s * total / n): the first place whose place * n / total reaches s
     shard = F.expr(f"(place * {n_shards}) div {max(total, 1)}")
     first = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
-    return ranked.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("place") - first).cast("long")).drop("place")
+    dealt = ranked.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("place") - first).cast("long"))
+    return dealt.select("row.*", "curve_index", "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -20,7 +20,7 @@ def rows(n=1000):
     return [(i, rng.choice(["en", "de", None]), "hot" if i % 3 else f"s{rng.randrange(30)}", rng.choice([None, 5, rng.randrange(9999)]), 1, 2) for i in range(n)]
 
 
-SCHEMA = "doc_id long, lang string, source string, n_chars long, shard int, d0 int"
+SCHEMA = "doc_id long, lang string, source string, n_chars long, shard int, place int"
 
 
 @pytest.mark.parametrize("n", [1000, 1001, 1007, 5, 1])
