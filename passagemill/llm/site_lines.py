@@ -2,8 +2,9 @@
 
 Lines are counted once per page and combined per (host, line) before the shuffle, so a hot host or line is many partial
 sums. A boilerplate line is on more than ``ratio`` of its host's pages, so a host has at most (mean lines per page) / ratio
-of them; only that short list meets the pages again, in a join that Spark broadcasts if the lists are small and splits if
-a host is hot.
+of them; only that short list meets the pages again. Page totals and lists are stored before they are joined: so Spark knows
+their sizes and broadcasts them if they are small, else both sides of the join are plain shuffles, which it splits where a
+host is hot (with an aggregate between shuffle and join it could not).
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passagemill.llm.shared import store
+
 RATIO = 0.3
 MIN_PAGES = 3
 WS = " \t\n\x0b\f\r"
@@ -41,7 +44,7 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     known = pages.where("site IS NOT NULL")
     containing = known.select("site", hashes).groupBy("site", "line_hash").agg(F.count("*").alias("n_containing"))
     total = known.groupBy("site").agg(F.count("*").alias("n_site"))
-    common = containing.where(F.col("n_containing") >= min_pages).join(total, "site")
+    common = containing.where(F.col("n_containing") >= min_pages).join(store(total, "site_pages"), "site")
     common = common.where(F.col("n_containing") / F.col("n_site") > ratio)
     return common.groupBy("site").agg(F.collect_list("line_hash").alias("line_hashes"))
 
@@ -53,7 +56,7 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MI
     Repeated rows count as pages of their own and stay repeated. Empty input: no rows.
     """
     own = pages.select("page_id", "site", F.coalesce("lines", F.array().cast("array<string>")).alias("lines"))
-    judged = own.join(boilerplate(own, ratio, min_pages), "site", "left")
+    judged = own.join(store(boilerplate(own, ratio, min_pages), "site_boilerplate"), "site", "left")
     kept = F.filter("lines", lambda line: ~F.array_contains("line_hashes", F.xxhash64(line)))
     kept = F.when(F.col("line_hashes").isNull(), F.col("lines")).otherwise(kept)
     return judged.select("page_id", "site", "lines", kept.alias("kept_lines"))
