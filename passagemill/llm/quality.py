@@ -4,8 +4,9 @@ A document's weight is the ratio of its likelihood under the target's model to t
 is a mixture of the target's kind of text, low-quality text and toxic text, each with an n-gram model of its own, in shares
 that expectation maximisation fits to all raw documents. Low quality shows in how often n-grams occur: its model counts
 hashed unigrams and bigrams. Toxic text is ordinary but for a few words: its model counts which hashed unigrams a document
-has at all, and only those whose frequency departs significantly from the raw text's have a ratio other than 1. All
-frequencies are estimated against those of the whole raw text with a Gamma prior of mean 1, so what is rare says little.
+has at all, and the stems of its different longer words, once for each word, so that words which are rare one by one but
+inflected alike count together. Only what is significantly more frequent in toxic text than in the raw text has a ratio other
+than 1 in its model: what is rarer there tells a text's language or subject, not that it is clean. All frequencies are estimated against those of the whole raw text with a Gamma prior of mean 1, so what is rare says little.
 
 Sampling without replacement takes the k largest of log weight + Gumbel noise. k is the number of target documents that the
 mixture expects among the raw ones, so it follows from all of the text. The k-th largest key is found by counting keys
@@ -43,6 +44,8 @@ KEY_STEPS = 1 << 20
 _TOKEN = re.compile(rb"[a-z0-9_\x80-\xff]+|[^a-z0-9_\x80-\xff\s]+")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)  # odd multipliers
 _WORDS_REMEMBERED = 500_000
+#: Bytes of a word's stem.
+STEM = 7
 
 
 class _Hashes(dict):
@@ -59,16 +62,18 @@ _hashes = _Hashes()
 
 
 def ngram_buckets(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of all unigrams and bigrams of a text, and of its different unigrams.
+    """The buckets of all unigrams and bigrams of a text; those of its different unigrams, and of the stem of each longer one.
 
-    Tokens are runs of word characters or of signs, in lower case.
+    Tokens are runs of word characters or of signs, in lower case. A stem is repeated for each different word that has it.
     """
     tokens = _TOKEN.findall((text or "").encode().lower())
     one = np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, len(tokens))
     two = one[:-1] * _MIX[1] + one[1:] * _MIX[2]
     shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
     found = ((np.concatenate([one, two]) * _MIX[0]) >> shift).astype(np.int64)
-    return found, np.unique(found[: len(one)])
+    stems = [b" " + t[:STEM] for t in set(tokens) if len(t) > STEM]  # no token holds a blank
+    stem = np.fromiter(map(_hashes.__getitem__, stems), np.uint64, len(stems))
+    return found, np.concatenate([np.unique(found[: len(one)]), ((stem * _MIX[0]) >> shift).astype(np.int64)])
 
 
 def label_sample(labels: DataFrame, most: int = LABELLED) -> DataFrame:
@@ -100,7 +105,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Log ratios to the target's model: 2 x BUCKETS, of low text (for all n-grams) and toxic text (for different unigrams).
+    """Log ratios to the target's model: 2 x BUCKETS, of low text (for all n-grams) and toxic text (for different unigrams and their stems).
 
     Those of a class without labelled texts, and both if the target has none, are -inf.
     """
@@ -113,17 +118,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     ratios = np.full((2, BUCKETS), -np.inf, np.float32)
     for model, kind, prior, least in ((0, 2, COUNT_PRIOR, 0.0), (1, 3, PRESENCE_PRIOR, SIGNIFICANT)):
         if counts[model, 1].any() and counts[model, kind].any():
-            ratios[model] = _log_model(counts[model], kind, prior, least) - _log_model(counts[model], 1, prior, least)
+            ratios[model] = _log_model(counts[model], kind, prior, least, kind == 3) - _log_model(counts[model], 1, prior, least)
     return ratios
 
 
-def _log_model(counts: np.ndarray, kind: int, prior: float, least: float) -> np.ndarray:
-    """Log of a class's bucket probabilities over those of the raw text."""
+def _log_model(counts: np.ndarray, kind: int, prior: float, least: float, excess: bool = False) -> np.ndarray:
+    """Log of a class's bucket probabilities over those of the raw text; with ``excess`` only what is frequent departs from 1."""
     raw = counts[0] / counts[0].sum()
     n, expected = counts[kind], counts[kind].sum() * raw
     ratio = (prior + n) / (prior + expected)
     surprise = 2 * (n * np.log(np.where(n > 0, n, 1) / np.where(n > 0, expected, 1)) - (n - expected))
-    ratio[surprise < least] = 1.0
+    ratio[(surprise < least) | (excess & (ratio < 1))] = 1.0
     return np.log(ratio / (ratio * raw).sum())
 
 
@@ -200,7 +205,8 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``labels``: doc_id, quality (1 good), toxic (1 toxic); nulls there are no label, several rows of an id count as one. Null and
     empty texts say nothing: their log weight is 0. Rows without doc_id are sampled like others. Repeated rows have equal keys:
-    they stay or go together. Without target labels every weight is 0 in the log and all documents are kept. Empty input: no rows.
+    they stay or go together. Without target labels every weight is 0 in the log and all documents are kept; with them, and no
+    target document expected, none is. Empty input: no rows.
     """
     return _sampled(score_documents(docs, labels)).select("doc_id", "log_weight", "sample_key", "kept")
 
@@ -218,5 +224,6 @@ def _sampled(scored: DataFrame) -> DataFrame:
     keyed = keyed.withColumn("key", F.round(F.col("sample_key") * KEY_STEPS).cast("long"))
     posterior = F.exp(F.least(F.col("log_weight") + F.lit(float(np.log(shares[0]))), F.lit(0.0)))
     expected = keyed.agg(F.sum(posterior)).first()[0]
-    cut = kth_largest(keyed.select("key"), round(expected or 0))
-    return keyed.withColumn("kept", F.lit(True) if cut is None else F.col("key") >= cut)
+    k = round(expected or 0)
+    cut = kth_largest(keyed.select("key"), k)
+    return keyed.withColumn("kept", F.lit(k > 0) if cut is None else F.col("key") >= cut)

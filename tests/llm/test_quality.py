@@ -104,3 +104,35 @@ def test_held_out_labels(spark):
     keep = held.groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("int")).alias("share"))
     share = {(r.quality, r.toxic): r.share for r in keep.collect()}
     assert share[1, 0] > 0.96 and share[0, 0] < 0.15 and share[1, 1] < 0.3
+
+
+def test_toxic_words_that_are_rare_one_by_one(spark):
+    rng = random.Random(8)
+    rare = lambda: "bomente" + "".join(rng.choices("abcdefghij", k=4))
+    texts = []
+    for i in range(600):
+        words = rng.choices(WORDS, k=rng.randrange(60, 120))
+        for _ in range(6 if i % 6 == 0 else 0):
+            words[rng.randrange(len(words))] = rare()
+        texts.append((i, " ".join(words)))
+    labels = [(i, 1, int(i % 6 == 0)) for i in range(600) if i % 4 < 2]
+    found = quality.resample(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    kept = {r.doc_id: r.kept for r in found.collect()}
+    toxic = [kept[i] for i in range(600) if i % 6 == 0 and i % 4 >= 2]
+    clean = [kept[i] for i in range(600) if i % 6]
+    assert sum(toxic) < 0.1 * len(toxic) and sum(clean) > 0.9 * len(clean)
+
+
+def test_nothing_stays_if_no_target_document_is_expected(spark):
+    scored = spark.createDataFrame([(i, 0.5, 100.0, -100.0) for i in range(5)], "doc_id long, noise double, low double, toxic double")
+    assert [r.kept for r in quality._sampled(scored).collect()] == [False] * 5
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_held_out_toxic_documents_go_in_every_language(spark):
+    labels, docs = spark.read.parquet(f"{SF}/labels.parquet"), spark.read.parquet(f"{SF}/documents.parquet")
+    found = quality.resample(docs, labels.where("doc_id % 5 <> 1"))
+    held = found.join(labels.where("doc_id % 5 = 1 AND toxic = 1"), "doc_id").join(docs.select("doc_id", "lang").distinct(), "doc_id")
+    share = {r.lang: (r.kept, r.n) for r in held.groupBy("lang").agg(F.sum(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
+    print(share)
+    assert sum(k for k, _ in share.values()) < 0.08 * sum(n for _, n in share.values()) and all(k < 0.4 * n for k, n in share.values())
