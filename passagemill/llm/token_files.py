@@ -44,20 +44,23 @@ _BREAK = re.compile(r" (?=\S)")
 
 
 class Encoder:
-    """Ids of texts by a file of the tokenizers library, special strings in a text being ordinary text.
+    """Ids of texts by a file of the tokenizers library; special strings in a text are special, or ordinary with ``plain``.
 
     A byte-level BPE that splits by its own pattern always splits before a blank that a non-blank follows. Its texts are cut
-    there, and pieces met before are not encoded again; the ids are those of the whole text. Other tokenizers get whole texts.
+    there, and pieces met before are not encoded again; the ids are those of the whole text. Other tokenizers get whole texts,
+    and so do texts that hold a special string.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
-            self.by_piece = self._splits_before_blanks(json.load(f))
+            spec = json.load(f)
+        self.by_piece = self._splits_before_blanks(spec)
+        self.special = [] if plain else [t["content"] for t in spec.get("added_tokens") or []]
         if self.by_piece:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
             self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character stands for a byte
@@ -68,7 +71,7 @@ class Encoder:
     @staticmethod
     def _splits_before_blanks(spec: dict) -> bool:
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
-        plain = spec.get("normalizer") is None and all(t["special"] for t in spec.get("added_tokens") or [])
+        plain = spec.get("normalizer") is None and all(t["special"] and " " not in t["content"] for t in spec.get("added_tokens") or [])
         splits = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         return bool(plain and splits and model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges"))
 
@@ -78,6 +81,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_piece:
             return [np.array(ids, np.uint32) for ids in self._ids(texts)]
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        if whole:
+            apart = dict(zip(whole, self._ids([texts[i] for i in whole])))
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in apart]))
+            return [np.array(apart[i], np.uint32) if i in apart else next(rest) for i in range(len(texts))]
         cut = [(_BREAK.split(t) if _NOT_A_BREAK.search(t) else t.split(" ")) for t in texts]
         if len(self.known) > PIECES:
             self.known.clear()
@@ -103,14 +111,14 @@ class Encoder:
                 start = end
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The process's encoder for a file; building one takes a moment."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
 
 
 _FOUR = np.array([[(control >> 2 * k & 3) + 1 for k in range(4)] for control in range(256)], np.uint8)
@@ -168,12 +176,12 @@ def read_segments(stream) -> Iterator[tuple[list[int | None], np.ndarray, np.nda
         yield [n if k else None for n, k in zip(numbers.tolist(), known)], lengths, ids[ranks]
 
 
-def _write(folder: str, path: str, end_id: int):
+def _write(folder: str, path: str, end_id: int, plain: bool):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         files, root = fs.FileSystem.from_uri(folder)
         name, hidden = f"{root}/{shard:06d}.tok", f"{root}/.{shard:06d}-{uuid.uuid4().hex}"
-        encode, n_docs, n_ids = encoder(path).encode, 0, 0
+        encode, n_docs, n_ids = encoder(path, plain).encode, 0, 0
         doc_ids, parts, waiting, stream = [], [], 0, None
         for doc_id, ids in _encoded(batches, encode, end_id):
             if stream is None:
@@ -211,19 +219,20 @@ def _encoded(batches: Iterator[pa.RecordBatch], encode, end_id: int) -> Iterator
                 start, size = stop, 0
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, files: int | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, files: int | None = None, plain: bool = False) -> DataFrame:
     """Write token files into the shared folder; returns the stored list of them: shard, path, n_docs, n_ids, start.
 
     Needs doc_id (long) and text, whatever else there is. ``files`` (default: the session's shuffle partitions) is the number of
     ranges; a range without rows has no file. Null and empty texts are ``end_id`` alone. Rows without doc_id come first, rows of
-    equal doc_id follow each other, all are kept. ``start`` counts the ids of the shards before. Empty input: no files.
+    equal doc_id follow each other, all are kept. ``start`` counts the ids of the shards before. Special strings in a text get
+    the library's special ids, with ``plain`` those of ordinary text. Empty input: no files.
     """
     spark = docs.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     placed = own.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     written = placed.mapInArrow(
-        _write(new_folder(spark, "token_files"), tokenizer, end_id), "shard long, path string, n_docs long, n_ids long"
+        _write(new_folder(spark, "token_files"), tokenizer, end_id, plain), "shard long, path string, n_docs long, n_ids long"
     )
     shards = sorted(store_from_python(written, "token_shards").collect(), key=lambda r: r.shard)  # one row per file
     before = accumulate((r.n_ids for r in shards), initial=0)
@@ -258,8 +267,8 @@ def read_tokens(shards: DataFrame) -> DataFrame:
     return shards.select("path", "start").repartition(tasks).mapInArrow(_read, "doc_id long, start long, ids binary")
 
 
-def token_digest(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def token_digest(docs: DataFrame, tokenizer: str, end_id: int, plain: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, from files written and read back (cases: :func:`write_tokens`)."""
-    ids = read_tokens(write_tokens(docs, tokenizer, end_id))
+    ids = read_tokens(write_tokens(docs, tokenizer, end_id, plain=plain))
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return ids.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))

@@ -80,3 +80,16 @@ def test_other_tokenizers_get_whole_texts():
     other = T.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     assert not other.by_piece
     assert other.encode(["Hello  you"])[0].tolist() == other.tokenizer.encode("Hello  you", add_special_tokens=False).ids
+
+
+def test_special_strings_get_the_ids_of_a_fresh_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "no such thing", "<|endoftext|>", " <|endoftext|>  x y<|endoftext|>z", "<|endoftext|", "", "b  a"]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275] and [i.tolist() for i in T.Encoder(PATH).encode(texts)] == want
+    assert T.Encoder(PATH, plain=True).encode(texts[:1])[0].tolist() == [64, 1279, 91, 437, 1659, 5239, 91, 29, 275]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.ids_crc32 for r in T.token_digest(docs, PATH, 2).collect()}
+    assert found == {i: zlib.crc32(np.array([*ids, 2], "<u4").tobytes()) for i, ids in enumerate(want)}
