@@ -15,11 +15,14 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passagemill.functions.markup import html_unescape
 from passagemill.llm.components import connected_components
 from passagemill.llm.shared import store
 
 RULE_SCHEMA = "action string, host string, path string"
 _AUTHORITY_AND_PATH = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+#: A link tag whose rel has canonical among its words, quoted or alone.
+_CANONICAL = r"""(?is)^<link\b.*\brel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical(?=[\s/>]))"""
 _VALUE = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -62,19 +65,26 @@ def resolve(base: Column, href: Column) -> Column:
 
 
 def html_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): each page's node and the target of its canonical links and refresh redirects. Needs url and html."""
+    """(a, b): each page's node and the target of its canonical links and refresh redirects. Needs url and html.
+
+    Tags may span lines, canonical may stand anywhere in rel, and entities in href and content are decoded.
+    """
     telling = pages.where(F.col("html").rlike("(?i)canonical|http-equiv") & F.contains("url", F.lit("://")))
     tag = F.explode(F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))).alias("tag")
     quotes = F.lit("\"'")
-    canonical = F.col("tag").rlike(r"""(?i)^<link\b.*\brel\s*=\s*["']?canonical\b""")
-    refresh = F.col("tag").rlike(r"""(?i)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")
+    canonical = F.col("tag").rlike(_CANONICAL)
+    refresh = F.col("tag").rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")
     tags = telling.select("url", tag).select("url", "tag", canonical.alias("canonical"), refresh.alias("refresh"))
     href = F.btrim(F.regexp_extract("tag", r"(?i)\bhref" + _VALUE, 1), quotes)
     content = F.btrim(F.regexp_extract("tag", r"(?i)\bcontent" + _VALUE, 1), quotes)
-    address = F.btrim(F.regexp_extract(content, r"(?i)url\s*=\s*(.*)$", 1), F.lit("\"' "))
     # a generator between the steps keeps each expression from being repeated inside the next
     step = lambda rows, column: rows.select("url", F.explode(F.array(column)).alias("target"))
-    found = step(tags.where("canonical OR refresh"), F.btrim(F.when(F.col("canonical"), href).otherwise(address)))
+    value = F.when(F.col("canonical"), href).otherwise(content).alias("value")
+    told = tags.where("canonical OR refresh").select("url", "canonical", F.explode(F.array(value)).alias("value"))
+    decoded = F.when(F.contains("value", F.lit("&")), html_unescape(F.col("value"))).otherwise(F.col("value"))
+    told = told.select("url", "canonical", F.explode(F.array(decoded)).alias("value"))
+    address = F.btrim(F.regexp_extract("value", r"(?is)url\s*=\s*(.*)$", 1), F.lit("\"' \t\r\n\f"))
+    found = step(told, F.btrim(F.when(F.col("canonical"), F.col("value")).otherwise(address), F.lit(" \t\r\n\f")))
     found = step(found, resolve(F.col("url"), F.col("target")))
     found = step(found, url_node(F.col("target")))
     return found.select(url_node(F.col("url")).alias("a"), F.col("target").alias("b"))

@@ -104,3 +104,16 @@ def test_empty_tables(spark):
     assert U.judge_pages(none, spark.createDataFrame([], U.RULE_SCHEMA)).collect() == []
     one = spark.createDataFrame([(1, "http://x.net/", None)], "page_id long, url string, html string")
     assert U.judge_pages(one, spark.createDataFrame([], U.RULE_SCHEMA)).first().verdict == "allow"
+
+
+def test_links_over_lines_with_more_words_or_entities(spark):
+    cases = {
+        "<link\n  rel='canonical'\n  href='/a'\n>": "http://h.org/a",
+        '<meta\n http-equiv="refresh"\n content="0;\n url=/b">': "http://h.org/b",
+        '<link rel="shortlink canonical" href="/c">': "http://h.org/c",
+        "<link href='https://x.org/?a=1&amp;b=2' rel=canonical>": "https://x.org/?a=1&b=2",
+        '<meta http-equiv=refresh content="0;url=&#39;/d?x&amp;y&#39;">': "http://h.org/d?x&y",
+        '<link rel="notcanonical" href="/e">': None,
+    }
+    rows = spark.createDataFrame([("http://h.org/p", h) for h in cases], "url string, html string")
+    assert sorted(r.b for r in U.html_edges(rows).collect()) == sorted(t for t in cases.values() if t)
