@@ -167,9 +167,67 @@ SELECT page_id, site, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0
 FROM l LEFT JOIN kept USING (rid)
 """
 
+def _crc32(text: str) -> str:
+    """DuckDB has no crc32: bit by bit. An element of 256 or more is a step, a smaller one the next byte."""
+    steps = f"list_prepend(4294967295::UBIGINT, flatten([[('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT, 256, 256, 256, 256, 256, 256, 256, 256] for i in range(octet_length(encode({text})))]))"
+    step = "CASE WHEN x < 256 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END"
+    return f"xor(list_reduce({steps}, lambda c, x: {step}), 4294967295::UBIGINT)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS tree, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS claimed FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+nodes(tree, level, pos, node, n) AS (
+  SELECT tree, 0, pos, leaf, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2
+),
+subroots AS (SELECT tree, node, level AS height, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper(level, pos, node, n) AS (
+  SELECT 0, pos, node, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 1) // 2 FROM upper WHERE n > 1 GROUP BY level, pos // 2
+),
+root AS (SELECT node, level AS height FROM upper WHERE n = 1),
+steps AS (
+  SELECT p.rid, l.level, (p.pos >> l.level::BIGINT) & 1 AS is_right, s.node AS sibling
+  FROM placed p JOIN subroots r USING (tree), (SELECT unnest(range(0, 64)) AS level) l
+    LEFT JOIN nodes s ON s.tree = p.tree AND s.level = l.level AND s.pos = xor(p.pos >> l.level::BIGINT, 1)
+  WHERE l.level < r.height
+  UNION ALL
+  SELECT p.rid, r.height + l.level, (r.pos >> l.level::BIGINT) & 1, s.node
+  FROM placed p JOIN subroots r USING (tree), root, (SELECT unnest(range(0, 64)) AS level) l
+    LEFT JOIN upper s ON s.level = l.level AND s.pos = xor(r.pos >> l.level::BIGINT, 1)
+  WHERE l.level < root.height
+),
+proofs AS (
+  SELECT rid, sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof_sha256,
+    list(CASE WHEN is_right = 1 THEN '<' ELSE '>' END || coalesce(sibling, '') ORDER BY level) AS path FROM steps GROUP BY rid
+),
+told AS (
+  SELECT doc_id, leaf, r.node AS subroot, root.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+    list_reduce(list_prepend(claimed, coalesce(path, [])), lambda h, s:
+      CASE WHEN s[1] = '<' THEN sha256(s[2:] || h) ELSE sha256(h || s[2:]) END) AS folded_root
+  FROM placed p JOIN subroots r USING (tree) LEFT JOIN proofs USING (rid), root
+)
+SELECT *, folded_root = root AS verified FROM told
+"""
+
 ORACLE = {
     "op4_line_rules": OP4,
     "op7_redirect_equivalence": OP7,
     "op8_chat_segments": OP8,
     "op10_site_lines": OP10,
+    "op11_merkle_manifest": OP11,
 }

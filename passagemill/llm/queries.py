@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.llm import chat, decontaminate, hilbert, line_rules, mixing, quality, simhash, site_lines, token_files, url_filter
+from passagemill.llm import (
+    chat, decontaminate, hilbert, line_rules, merkle, mixing, quality, simhash, site_lines, token_files, url_filter,
+)
 from passagemill.llm.oracle import ORACLE  # noqa: F401  the same queries for DuckDB, where SQL can state them
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -83,10 +85,21 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), fields, "lang", "doc_id", tampered, {"n_chars": one_more})
+    folded = merkle.fold(F.col("claimed"), F.col("path")).alias("folded_root")
+    told = proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded)
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_importance_resampling, op3_template_decontamination, op4_line_rules, op5_temperature_mixing,
         op6_token_files, op7_redirect_equivalence, op8_chat_segments, op9_hilbert_shards, op10_site_lines,
+        op11_merkle_manifest,
     )
 }
