@@ -224,10 +224,37 @@ told AS (
 SELECT *, folded_root = root AS verified FROM told
 """
 
+_FEATURES = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x{{00}}-\\x{{2F}}\\x{{3A}}-\\x{{60}}\\x{{7B}}-\\x{{7F}}]+')"
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_FEATURES} AS words, text FROM documents),
+w AS (SELECT rid, unnest(words) AS word FROM d),
+b AS (SELECT unnest({_FEATURES}) AS word FROM benchmark),
+hashed AS (SELECT word, {_crc32("word")} % 10000 AS bucket FROM (SELECT word FROM w UNION SELECT word FROM b)),
+raw AS (SELECT bucket, count(*) AS s FROM w JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM b JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM w) AS s_all, (SELECT count(*) FROM b) AS t_all),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM raw LEFT JOIN target USING (bucket), totals
+),
+weighed AS (SELECT rid, sum(gain)::BIGINT AS weight FROM w JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM d LEFT JOIN weighed USING (rid)
+),
+told AS (SELECT rid, doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+placed AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () * 10 // 100 AS drawn FROM told WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM told LEFT JOIN placed USING (rid)
+"""
+
 ORACLE = {
     "op4_line_rules": OP4,
     "op7_redirect_equivalence": OP7,
     "op8_chat_segments": OP8,
     "op10_site_lines": OP10,
     "op11_merkle_manifest": OP11,
+    "op13_target_sampling": OP13,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagemill.llm import (
-    chat, decontaminate, hilbert, line_rules, merkle, mixing, quality, simhash, site_lines, token_files, url_filter,
+    chat, decontaminate, hilbert, line_rules, merkle, mixing, quality, simhash, site_lines, target_sampling, token_files, url_filter,
 )
 from passagemill.llm.oracle import ORACLE  # noqa: F401  the same queries for DuckDB, where SQL can state them
 
@@ -95,11 +95,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_importance_resampling, op3_template_decontamination, op4_line_rules, op5_temperature_mixing,
         op6_token_files, op7_redirect_equivalence, op8_chat_segments, op9_hilbert_shards, op10_site_lines,
-        op11_merkle_manifest,
+        op11_merkle_manifest, op13_target_sampling,
     )
 }

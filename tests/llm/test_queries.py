@@ -22,7 +22,7 @@ def test_one_query_per_operator_and_the_pipeline():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     cursor = con.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, name):
     assert Counter(tuple(r) for r in found.select(*columns).collect()) == Counter(cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith(("op1_", "op2_", "op6_", "op9_"))))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith(("op1_", "op2_", "op6_", "op9_", "op11_", "op13_"))))
 def test_one_row_per_document(spark, name):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = [r.doc_id for r in QUERIES[name](spark, SF).select("doc_id").collect()]
