@@ -224,6 +224,17 @@ told AS (
 SELECT *, folded_root = root AS verified FROM told
 """
 
+OP12 = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS first_id FROM p
+  WINDOW same AS (PARTITION BY html ORDER BY page_id IS NULL, page_id, url NULLS FIRST)
+),
+told AS (SELECT *, size >= 100 AND place > 1 AS again FROM ranked)
+SELECT page_id, size::BIGINT AS payload_bytes, sha256(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first_id END AS refers_to FROM told
+"""
+
 _FEATURES = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x{{00}}-\\x{{2F}}\\x{{3A}}-\\x{{60}}\\x{{7B}}-\\x{{7F}}]+')"
 
 OP13 = f"""
@@ -256,5 +267,6 @@ ORACLE = {
     "op8_chat_segments": OP8,
     "op10_site_lines": OP10,
     "op11_merkle_manifest": OP11,
+    "op12_warc_transactions": OP12,
     "op13_target_sampling": OP13,
 }

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagemill.llm import (
-    chat, decontaminate, hilbert, line_rules, merkle, mixing, quality, simhash, site_lines, target_sampling, token_files, url_filter,
+    chat, decontaminate, hilbert, line_rules, merkle, mixing, quality, simhash, site_lines, target_sampling, token_files, url_filter, warc,
 )
 from passagemill.llm.oracle import ORACLE  # noqa: F401  the same queries for DuckDB, where SQL can state them
+from passagemill.llm.shared import store_from_python
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -95,6 +96,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    records = store_from_python(warc.read_records(archives, payloads=False), "records")
+    return warc.page_captures(warc.assemble_transactions(records)).drop("url")
+
+
 def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -104,6 +111,6 @@ QUERIES = {
     for f in (
         op1_simhash, op2_importance_resampling, op3_template_decontamination, op4_line_rules, op5_temperature_mixing,
         op6_token_files, op7_redirect_equivalence, op8_chat_segments, op9_hilbert_shards, op10_site_lines,
-        op11_merkle_manifest, op13_target_sampling,
+        op11_merkle_manifest, op12_warc_transactions, op13_target_sampling,
     )
 }

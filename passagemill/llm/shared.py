@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of rows that Spark hands to a Python worker at once; a single longer row goes alone.
@@ -36,6 +37,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system for a URI and the path on it: file, hdfs, gs, abfss, s3 (also as s3a or s3n)."""
+    scheme, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written and read back."""
     path = new_folder(df.sparkSession, name)
