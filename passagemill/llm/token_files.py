@@ -27,20 +27,22 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagemill.llm.shared import new_folder, store_from_python
+from passagemill.llm.shared import file_system, new_folder, store_from_python
 
 SEGMENT_IDS = 1 << 21
 MAGIC = b"PMTOKEN1"
-#: Distinct pieces whose ids a Python worker remembers.
-PIECES = 500_000
+#: Distinct pieces whose ids a Python worker remembers: twice as many at most, those of the last two generations.
+PIECES = 300_000
+#: Bytes of text that one file, and so one task, is meant for.
+FILE_BYTES = 32 << 20
 _AT_ONCE = 1 << 20  # characters encoded together
 _NOT_A_BREAK = re.compile(r" (?!\S)")
 _BREAK = re.compile(r" (?=\S)")
+_SIGNS = ".,;:!?"
 
 
 class Encoder:
@@ -66,7 +68,8 @@ class Encoder:
             self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character stands for a byte
             for token, i in vocabulary.items():
                 self.n_bytes[i] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # pieces met since the last change of generations
+        self.before: dict[str, bytes] = {}  # those of the generation before
 
     @staticmethod
     def _splits_before_blanks(spec: dict) -> bool:
@@ -88,27 +91,49 @@ class Encoder:
             return [np.array(apart[i], np.uint32) if i in apart else next(rest) for i in range(len(texts))]
         cut = [(_BREAK.split(t) if _NOT_A_BREAK.search(t) else t.split(" ")) for t in texts]
         if len(self.known) > PIECES:
-            self.known.clear()
+            self.known, self.before = {}, self.known
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces[1:])
-        self._learn(sorted(new.difference(self.known)))
+        self._meet(new)
         heads = self._ids([pieces[0] for pieces in cut])
         tails = (b"".join(map(self.known.__getitem__, pieces[1:])) for pieces in cut)
         return [np.concatenate([np.array(h, np.uint32), np.frombuffer(t, np.uint32)]) for h, t in zip(heads, tails)]
 
+    def _meet(self, pieces: set[str]) -> None:
+        """See that all pieces are known. A letter and a sign are always split: what ends in signs is put together from its parts."""
+        known, before = self.known, self.before
+        ends = {}
+        todo = set()
+        for piece in pieces:
+            if piece in known:
+                continue
+            if piece in before:
+                known[piece] = before[piece]
+                continue
+            stem = piece.rstrip(_SIGNS)
+            if stem != piece and stem[-1:].isalpha():
+                ends[piece] = stem
+                if stem in before:
+                    known[stem] = before[stem]
+                if stem not in known:
+                    todo.add(stem)
+            else:
+                todo.add(piece)
+        self._learn(sorted(todo))
+        tails = sorted({piece[len(stem) :] for piece, stem in ends.items()})
+        tail_ids = {tail: np.array(ids, np.uint32).tobytes() for tail, ids in zip(tails, self._ids(tails))}
+        known.update((piece, known[stem] + tail_ids[piece[len(stem) :]]) for piece, stem in ends.items())
+
     def _learn(self, pieces: list[str]) -> None:
         """Remember the ids of pieces that follow a blank; many are encoded as one text and told apart by their bytes."""
-        pieces = [" " + p for p in pieces]
         groups = [pieces[i : i + 256] for i in range(0, len(pieces), 256)]
-        for group, ids in zip(groups, self._ids(["".join(g) for g in groups])):
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
             ids = np.array(ids, np.uint32)
-            ends = list(accumulate(len(p.encode()) for p in group))
-            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right")
-            start = 0
-            for piece, end in zip(group, cuts.tolist()):
-                self.known[piece[1:]] = ids[start:end].tobytes()
-                start = end
+            ends = np.fromiter(accumulate(len(p.encode()) + 1 for p in group), np.int64, len(group))
+            cuts = (4 * np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right")).tolist()
+            raw = ids.tobytes()
+            self.known.update((piece, raw[start:end]) for piece, start, end in zip(group, [0, *cuts], cuts))
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -146,15 +171,15 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 
 def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
-    used, rank_of, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(used), np.uint32)
-    rank[order] = np.arange(len(used), dtype=np.uint32)
-    control, data = encode_ranks(rank[rank_of])
+    counts = np.bincount(ids)  # as long as the tokenizer's vocabulary at most
+    order = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+    rank = np.zeros(len(counts), np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    control, data = encode_ranks(rank[ids])
     known = np.array([d is not None for d in doc_ids], np.uint8)
-    head = np.array([len(doc_ids), len(ids), len(used), len(data)], "<u4")
+    head = np.array([len(doc_ids), len(ids), len(order), len(data)], "<u4")
     numbers = np.array([d or 0 for d in doc_ids], "<i8")
-    parts = (head, numbers, known, np.array(lengths, "<u4"), used[order].astype("<u4"))
+    parts = (head, numbers, known, np.array(lengths, "<u4"), order.astype("<u4"))
     return b"".join(p.tobytes() for p in parts) + control + data
 
 
@@ -179,7 +204,7 @@ def read_segments(stream) -> Iterator[tuple[list[int | None], np.ndarray, np.nda
 def _write(folder: str, path: str, end_id: int, plain: bool):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        files, root = fs.FileSystem.from_uri(folder)
+        files, root = file_system(folder)
         name, hidden = f"{root}/{shard:06d}.tok", f"{root}/.{shard:06d}-{uuid.uuid4().hex}"
         encode, n_docs, n_ids = encoder(path, plain).encode, 0, 0
         doc_ids, parts, waiting, stream = [], [], 0, None
@@ -222,15 +247,17 @@ def _encoded(batches: Iterator[pa.RecordBatch], encode, end_id: int) -> Iterator
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, files: int | None = None, plain: bool = False) -> DataFrame:
     """Write token files into the shared folder; returns the stored list of them: shard, path, n_docs, n_ids, start.
 
-    Needs doc_id (long) and text, whatever else there is. ``files`` (default: the session's shuffle partitions) is the number of
-    ranges; a range without rows has no file. Null and empty texts are ``end_id`` alone. Rows without doc_id come first, rows of
+    Needs doc_id (long) and text, whatever else there is. ``files`` (default: one for ``FILE_BYTES`` of text, and no fewer than
+    the session's default parallelism) is the number of ranges; a range without rows has no file. Null and empty texts are ``end_id`` alone. Rows without doc_id come first, rows of
     equal doc_id follow each other, all are kept. ``start`` counts the ids of the shards before. Special strings in a text get
     the library's special ids, with ``plain`` those of ordinary text. Empty input: no files.
     """
     spark = docs.sparkSession
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        files = max(spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    placed = own.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    placed = own.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     written = placed.mapInArrow(
         _write(new_folder(spark, "token_files"), tokenizer, end_id, plain), "shard long, path string, n_docs long, n_ids long"
     )
@@ -243,7 +270,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, files: int | None
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, start in zip(batch["path"].to_pylist(), batch["start"].to_pylist()):
-            files, name = fs.FileSystem.from_uri(path)
+            files, name = file_system(path)
             with files.open_input_stream(name) as stream:
                 for doc_ids, lengths, ids in read_segments(stream):
                     cuts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])

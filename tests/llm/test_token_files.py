@@ -63,7 +63,7 @@ def test_every_file_is_complete_and_in_order(spark):
     shards = T.write_tokens(docs, PATH, 2, files=3).collect()
     assert len(shards) == 3 and sum(s.n_docs for s in shards) == len(rows())
     for s in shards:
-        files, name = T.fs.FileSystem.from_uri(s.path)
+        files, name = T.file_system(s.path)
         with files.open_input_stream(name) as stream:
             assert sum(len(ids) for _, _, ids in T.read_segments(stream)) == s.n_ids
         with files.open_input_stream(name) as stream:
