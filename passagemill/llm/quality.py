@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from passagemill.llm.shared import BATCH_BYTES, settings, store_from_python
+from passagemill.llm.shared import BATCH_BYTES, row_key, settings, store, store_from_python
 
 LABELLED = 50_000
 BUCKETS = 1 << 18
@@ -43,7 +43,9 @@ CLASSES = ("raw", "target", "low", "toxic")
 KEY_STEPS = 1 << 20
 _TOKEN = re.compile(rb"[a-z0-9_\x80-\xff]+|[^a-z0-9_\x80-\xff\s]+")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)  # odd multipliers
-_WORDS_REMEMBERED = 500_000
+_WORDS_REMEMBERED = 200_000
+#: Bytes of text that are cut into tokens at once, and rows of counts that leave a task at once.
+_SLICE, _ROWS = 1 << 20, 1 << 16
 #: Bytes of a word's stem.
 STEM = 7
 
@@ -61,19 +63,43 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def ngram_buckets(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def _slices(raw: bytes) -> Iterator[bytes]:
+    """The text in parts of about ``_SLICE`` bytes that end before a blank or a line break, so that no token is cut."""
+    start = 0
+    while start < len(raw):
+        ends = [at for at in (raw.find(sep, start + _SLICE) for sep in (b" ", b"\n")) if at >= 0]
+        end = min(ends, default=len(raw))
+        yield raw[start:end]
+        start = end
+
+
+def ngram_buckets(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The buckets of all unigrams and bigrams of a text; those of its different unigrams, and of the stem of each longer one.
 
-    Tokens are runs of word characters or of signs, in lower case. A stem is repeated for each different word that has it.
+    Tokens are runs of word characters or of signs, in lower case. A stem is repeated for each different word that has it. A long
+    text comes in several parts that together say this, so that memory is bounded by what differs in it.
     """
-    tokens = _TOKEN.findall((text or "").encode().lower())
-    one = np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, len(tokens))
-    two = one[:-1] * _MIX[1] + one[1:] * _MIX[2]
     shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
-    found = ((np.concatenate([one, two]) * _MIX[0]) >> shift).astype(np.int64)
-    stems = [b" " + t[:STEM] for t in set(tokens) if len(t) > STEM]  # no token holds a blank
-    stem = np.fromiter(map(_hashes.__getitem__, stems), np.uint64, len(stems))
-    return found, np.concatenate([np.unique(found[: len(one)]), ((stem * _MIX[0]) >> shift).astype(np.int64)])
+    raw = (text or "").encode().lower()
+    several = len(raw) > _SLICE
+    last, seen, stemmed = np.empty(0, np.uint64), np.zeros(BUCKETS if several else 0, bool), set()
+    for part in _slices(raw):
+        tokens = _TOKEN.findall(part)
+        one = np.concatenate([last, np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, len(tokens))])
+        two = one[:-1] * _MIX[1] + one[1:] * _MIX[2]
+        new = one[len(last) :]
+        found = ((np.concatenate([new, two]) * _MIX[0]) >> shift).astype(np.int64)
+        different = np.unique(found[: len(new)])
+        longer = {t for t in set(tokens) if len(t) > STEM}
+        if several:
+            different = different[~seen[different]]
+            seen[different] = True
+            longer = {t for t in longer if _hashes[t] not in stemmed}
+            stemmed.update(map(_hashes.__getitem__, longer))
+            last = one[-1:]
+        stems = [b" " + t[:STEM] for t in longer]  # no token holds a blank
+        stem = np.fromiter(map(_hashes.__getitem__, stems), np.uint64, len(stems))
+        yield found, np.concatenate([different, ((stem * _MIX[0]) >> shift).astype(np.int64)])
 
 
 def label_sample(labels: DataFrame, most: int = LABELLED) -> DataFrame:
@@ -91,17 +117,30 @@ def label_sample(labels: DataFrame, most: int = LABELLED) -> DataFrame:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, len(CLASSES), BUCKETS), np.int64)  # model, class
+    held: dict[tuple[int, int], list[np.ndarray]] = {}
+
+    def add() -> None:
+        for (model, kind), parts in held.items():
+            counts[model, kind] += np.bincount(np.concatenate(parts), minlength=BUCKETS)
+        held.clear()
+
+    n_held = 0
     for batch in batches:
-        kinds = np.array([k or 0 for k in batch["class"].to_pylist()])
-        found = [ngram_buckets(text.as_py()) for text in batch["text"]]
-        for model in (0, 1):
-            for kind in set(kinds.tolist()):
-                parts = [f[model] for f, k in zip(found, kinds) if k == kind]
-                counts[model, kind] += np.bincount(np.concatenate(parts), minlength=BUCKETS)
+        for kind, text in zip(batch["class"].to_pylist(), batch["text"]):
+            for found in ngram_buckets(text.as_py()):
+                for model in (0, 1):
+                    held.setdefault((model, kind or 0), []).append(found[model])
+                n_held += len(found[0])
+                if n_held > _SLICE:
+                    add()
+                    n_held = 0
+    add()
+    _hashes.clear()  # the process serves later stages too
     counts[:, 0] = counts.sum(axis=1)
     model, kind, bucket = np.nonzero(counts)
-    columns = [pa.array(x) for x in (model, kind, bucket, counts[model, kind, bucket])]
-    yield pa.RecordBatch.from_arrays(columns, ["model", "class", "bucket", "n"])
+    for i in range(0, len(bucket), _ROWS):
+        place = model[i : i + _ROWS], kind[i : i + _ROWS], bucket[i : i + _ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*place, counts[place])], ["model", "class", "bucket", "n"])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
@@ -136,24 +175,26 @@ def _scores(text: Column, ratios: np.ndarray) -> Column:
     present = np.isfinite(ratios).all(axis=1)
 
     @pandas_udf("low double, toxic double")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        sums = np.full((len(texts), 2), -np.inf)
-        for i, t in enumerate(texts):
-            for model, found in enumerate(ngram_buckets(t)):
-                if present[model]:
-                    sums[i, model] = ratios[model, found].sum(dtype=np.float64)
-        return pd.DataFrame({"low": sums[:, 0], "toxic": sums[:, 1]})
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sums = np.where(present, np.zeros((len(texts), 2)), -np.inf)
+            for i, t in enumerate(texts):
+                for found in ngram_buckets(t):
+                    for model in np.flatnonzero(present):
+                        sums[i, model] += ratios[model, found[model]].sum(dtype=np.float64)
+            yield pd.DataFrame({"low": sums[:, 0], "toxic": sums[:, 1]})
+        _hashes.clear()
 
     return score(text)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *carried: Column) -> DataFrame:
-    """doc_id, noise (unit), low, toxic (log likelihood of each other class minus the target's) and what is carried, stored."""
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, row_key, noise (unit), low, toxic (log likelihood of each other class minus the target's), stored."""
     ratios = fit(docs, labels)
     bits = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(SEED)), 11)
     noise = ((bits + 0.5) / F.lit(float(1 << 53))).alias("noise")
-    scored = docs.select("doc_id", noise, _scores(F.col("text"), ratios).alias("s"), *carried)
-    return store_from_python(scored.select("doc_id", "noise", "s.low", "s.toxic", *scored.columns[3:]), "scores")
+    scored = docs.select("doc_id", row_key("doc_id", "text"), noise, _scores(F.col("text"), ratios).alias("s"))
+    return store_from_python(scored.select("doc_id", "row_key", "noise", "s.low", "s.toxic"), "scores")
 
 
 def fit_shares(scored: DataFrame, tolerance: float = 1e-4, most: int = 30) -> tuple[float, float, float]:
@@ -212,8 +253,12 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`resample` keeps, columns unchanged. Rows are judged one by one, also those without doc_id."""
-    return _sampled(score_documents(docs, labels, F.struct("*").alias("row"))).where("kept").select("row.*")
+    """The rows of ``docs`` that :func:`resample` keeps, columns unchanged. Rows are judged one by one, also those without doc_id.
+
+    Only keys and scores go through Python and are stored; the rows that go are left out by an anti join on their keys.
+    """
+    gone = store(_sampled(score_documents(docs, labels)).where("NOT kept").select("row_key").distinct(), "rejected")
+    return docs.select(F.struct("*").alias("row"), row_key("doc_id", "text")).join(gone, "row_key", "left_anti").select("row.*")
 
 
 def _sampled(scored: DataFrame) -> DataFrame:

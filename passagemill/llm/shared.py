@@ -11,10 +11,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of rows that Spark hands to a Python worker at once; a single longer row goes alone.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 _made: dict[str, list[str]] = {}
 
@@ -59,6 +60,13 @@ def drop_stored(spark: SparkSession) -> int:
     return len(paths)
 
 
+def row_key(*columns: str) -> Column:
+    """128 bits (hex) that tell rows with different values in ``columns`` apart, nulls included; equal rows have equal keys."""
+    values = [F.struct(F.col(c).isNull(), F.col(c)) for c in columns]
+    halves = (F.lpad(F.hex(F.xxhash64(F.lit(half), *values)), 16, "0") for half in (1, 2))
+    return F.concat(*halves).alias("row_key")
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the jobs run inside the block; the caller's come back after it."""

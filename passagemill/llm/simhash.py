@@ -56,22 +56,23 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
     return fingerprints(text)
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fingerprint (long), component_id: the smallest doc_id that links of up to ``radius`` bits lead to.
+def near_duplicates(docs: DataFrame, *carried: Column | str, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, fingerprint (long), component_id: the smallest doc_id that links of up to ``radius`` bits lead to; component: the
+    smallest fingerprint there; and what is carried (narrow columns of ``docs``).
 
     Needs the columns doc_id and text, whatever else there is. One row for each input row: repeated rows stay repeated.
     Texts without words (null, empty) have fingerprint 0 and link like any other. Rows without a doc_id take part in links
     but name no component: theirs is null if no row with a doc_id is linked to them. Empty input: no rows.
     """
-    prints = store_from_python(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fingerprint")), "fingerprints")
+    prints = store_from_python(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fingerprint"), *carried), "fingerprints")
     distinct = store(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct")
     members = connected_components(links(distinct, radius)).withColumnRenamed("node", "fingerprint")
     named = members.join(distinct, "fingerprint")
     first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = named.join(first, "component").select("fingerprint", "component_id")
+    linked = named.join(first, "component").select("fingerprint", "component_id", "component")
     linked = store(linked, "linked")
-    alone = distinct.join(linked, "fingerprint", "left_anti").select("fingerprint", F.col("first_id").alias("component_id"))
-    return prints.join(linked.union(alone), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    alone = distinct.join(linked, "fingerprint", "left_anti").select("fingerprint", F.col("first_id").alias("component_id"), F.col("fingerprint").alias("component"))
+    return prints.join(linked.union(alone), "fingerprint").select("doc_id", "fingerprint", "component_id", "component", *prints.columns[2:])
 
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -52,21 +52,42 @@ def test_classifier_keeps_what_the_operator_keeps(spark, folder, stages):
     assert left["good"] >= 0.9 * sum(k == "good" for k in kinds.values()) and left["low"] <= 5
 
 
-def test_one_of_each_group_stays(stages):
-    before, after = rows_of(stages[1]), rows_of(stages[2])
-    prints = {r[0]: simhash.simhash64(r[1]) for r in before if r[0] is not None}
-    near = [(a, b) for a in prints for b in prints if a < b and ((prints[a] ^ prints[b]) % (1 << 64)).bit_count() <= 2]
-    root = {i: i for i in prints}
-    for _ in prints:
+def components(texts):
+    """The group of each text, by fingerprints at most two bits apart."""
+    prints = [simhash.simhash64(t) % (1 << 64) for t in texts]
+    distinct = sorted(set(prints))
+    root = {p: p for p in distinct}
+    moved = True
+    while moved:
         moved = False
-        for a, b in near:
-            low = min(root[a], root[b])
-            moved |= root[a] != low or root[b] != low
-            root[a] = root[b] = low
-        if not moved:
-            break
-    assert after == Counter({r: n for r, n in before.items() if r[0] is None or root[r[0]] == r[0]})
-    assert sum(before.values()) > sum(after.values())
+        for p in distinct:
+            for q in distinct:
+                if (p ^ q).bit_count() <= 2 and root[q] < root[p]:
+                    root[p], moved = root[q], True
+    return [root[p] for p in prints]
+
+
+def test_one_row_of_each_group_stays(stages):
+    before, after = list(rows_of(stages[1]).elements()), rows_of(stages[2])
+    groups = dict(zip(before, components([r[1] for r in before])))
+    assert Counter(groups[r] for r in after.elements()) == Counter(set(groups.values()))
+    for group in set(groups.values()):
+        (kept,) = (r for r in after if groups[r] == group)
+        ids = [r[0] for r in before if groups[r] == group and r[0] is not None]
+        assert kept[0] == min(ids, default=None)
+    assert len(before) > sum(after.values())
+
+
+def test_rows_are_told_apart_by_what_they_hold(spark, folder):
+    t = "the same words of a text that comes again and again"
+    u = "nothing like it, a text of another kind about something else"
+    rows = [(7, t, "en", "s", 1)] * 3 + [(None, t, "en", "s", 1)] * 2 + [(9, t, "en", "s", 1), (9, u, "en", "s", 1), (None, None, None, None, None)]
+    rows += [(None, ITEM + " " + u, "en", "s", 1), (11, "now " + ITEM, "en", "s", 1), (11, u + " more", None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = P.deduplicate(spark, docs, folder)
+    assert left.columns == docs.columns
+    assert rows_of(left) == Counter({rows[0]: 1, (9, u, "en", "s", 1): 1, (None, None, None, None, None): 1} | {r: 1 for r in rows[-3:]})
+    assert rows_of(P.decontaminated(spark, docs, folder)) == Counter(r for r in rows if ITEM not in (r[1] or ""))
 
 
 def test_benchmark_passages_go_and_the_rest_stays(stages):

@@ -69,7 +69,7 @@ def test_scores_equal_plain_sums(spark, sampled):
     ratios = quality.fit(rows, labelled)
     for r in quality.score_documents(rows, labelled).where("doc_id < 20").collect():
         text = dict((i, t) for i, t, _ in corpus()[0])[r.doc_id]
-        every, once = quality.ngram_buckets(text)
+        every, once = map(np.concatenate, zip(*quality.ngram_buckets(text)))
         assert np.isclose(r.low, sum(float(ratios[0, b]) for b in every)) and np.isclose(r.toxic, sum(float(ratios[1, b]) for b in set(once.tolist())), atol=1e-4)
 
 
@@ -136,3 +136,32 @@ def test_held_out_toxic_documents_go_in_every_language(spark):
     share = {r.lang: (r.kept, r.n) for r in held.groupBy("lang").agg(F.sum(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
     print(share)
     assert sum(k for k, _ in share.values()) < 0.08 * sum(n for _, n in share.values()) and all(k < 0.4 * n for k, n in share.values())
+
+
+@pytest.mark.parametrize("size", [1, 50, 1 << 20])
+def test_parts_of_a_long_text_say_the_same(monkeypatch, size):
+    text = " ".join(f"word{i % 37}longer, Other{i % 5}\n x{i}" for i in range(300))
+    (want,) = quality.ngram_buckets(text)
+    monkeypatch.setattr(quality, "_SLICE", size)
+    parts = list(quality.ngram_buckets(text))
+    assert len(parts) == 1 or size < len(text)
+    for k in (0, 1):
+        assert sorted(np.concatenate([p[k] for p in parts]).tolist()) == sorted(want[k].tolist())
+
+
+def test_kept_rows_equal_a_plain_draw(spark, sampled):
+    """The kept set from the scores alone: the expected number of target documents, by their sample keys."""
+    rows, labelled, found = sampled
+    scored = quality.score_documents(rows, labelled)
+    s = quality.fit_shares(scored)
+    keys, expected = {}, 0.0
+    for r in scored.collect():
+        log_weight = -np.log(s[0] + s[1] * np.exp(r.low) + s[2] * np.exp(r.toxic))
+        expected += min(1.0, np.exp(log_weight + np.log(s[0])))
+        keys.setdefault(r.doc_id, []).append(float(np.rint((log_weight - np.log(-np.log(r.noise))) * quality.KEY_STEPS)))
+    cut = sorted((k for ks in keys.values() for k in ks), reverse=True)[round(expected) - 1]
+    near = [(i, k) for i, ks in keys.items() for k in ks if abs(k - cut) > 2]  # keys are rounded from doubles
+    kept = {}
+    for r in found.collect():
+        kept.setdefault(r.doc_id, []).append(r.kept)
+    assert all((k >= cut) in kept[i] for i, k in near) and len(near) > 0.9 * len(keys)
