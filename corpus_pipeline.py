@@ -1,7 +1,6 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read back as the next one's input.
 
-Rows without doc_id: judged one by one by the classifier and the mixing, never copies nor contaminated. Rows that share a
-doc_id are copies together and contaminated together.
+Rows are told apart by what they hold, never by doc_id alone: rows that share a doc_id, or have none, are judged each for itself.
 """
 
 from __future__ import annotations
@@ -9,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from passagemill.llm import decontaminate, mixing, quality, simhash, token_files
 from passagemill.llm.queries import END_ID, default_tokenizer
-from passagemill.llm.shared import store
+from passagemill.llm.shared import row_key, store
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,17 +21,25 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id (op1)."""
-    found = simhash.near_duplicates(docs)
-    copies = store(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates stays: that with the smallest doc_id, then key; of repeated rows one (op1)."""
+    keyed = docs.select(F.struct("*").alias("row"), row_key(*docs.columns))
+    found = store(simhash.near_duplicates(docs, row_key(*docs.columns)).select("doc_id", "component", "row_key"), "groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = store(found.groupBy("component").agg(F.min(order).alias("first")).select("first.row_key"), "first_rows")
+    gone = store(found.select("row_key").distinct().join(first, "row_key", "left_anti"), "copies")
+    repeated = store(found.groupBy("row_key").count().where("count > 1").select("row_key").join(first, "row_key", "left_semi"), "repeated_rows")
+    left = keyed.join(gone, "row_key", "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
+        left = left.join(repeated, "row_key", "left_anti").unionByName(once)
+    return left.select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, re-parameterised or not, go (op3)."""
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    named = store(found.select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated_ids")
-    return docs.join(named, "doc_id", "left_anti").select(*docs.columns)
+    gone = store(found.select("row_key").distinct(), "contaminated_rows")
+    return docs.select(F.struct("*").alias("row"), row_key("doc_id", "text")).join(gone, "row_key", "left_anti").select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
