@@ -1,11 +1,18 @@
 """Scan of text-file trees: encodings, line numbers, file order, bad input."""
 
+import zlib
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from passagemill.sources.files import file_blocks, list_files, number_lines, place_blocks, read_lines, scan_corpus
+from passagemill.operators.ordering import number_rows
+from passagemill.sources.files import (
+    file_blocks, file_outcomes, first_pass, list_files, number_in_place, number_lines, place_blocks, read_lines, scan_corpus,
+)
 from passagemill.sources.metadata import scan_sources
+from passagemill.sources.side_table import write_side_table
+from passagemill.storage import store_in
 
 TREE = {
     "A.TXT": b"@@1 one\r\nskip\r@@2 two\n\n  @@3\tthree x\n@@4\n@@ five",
@@ -129,3 +136,56 @@ def test_sources_file(spark, tmp_path):
     assert scan_sources(spark, missing, missing_ok=True).count() == 0
     with pytest.raises(AnalysisException):
         scan_sources(spark, missing)
+
+
+def test_numbers_from_a_side_table_without_any_exchange(spark, tmp_path):
+    root = write_tree(tmp_path / "tree", TREE)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60")
+    try:
+        lines, _, blocks, _ = first_pass(spark, root, store_in(str(tmp_path / "store")))
+        numbered = number_in_place(lines, blocks, str(tmp_path / "store"), limit=0)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+        want = number_in_place(lines, blocks, str(tmp_path / "store"))
+        assert sorted(map(tuple, numbered.collect())) == sorted(map(tuple, want.collect()))
+        path = str(tmp_path / "less")
+        write_side_table(blocks.where(~F.endswith("uri", F.lit("lat.txt"))), ["uri", "task", "block_start", "block_length"], path)
+        with pytest.raises(Exception, match="file blocks changed"):
+            number_lines(lines, blocks, side_table=path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def break_file(path, at):
+    """A checksum that does not fit the bytes from ``at`` on: reading stops there with an error."""
+    data = path.read_bytes()
+    sums = b"".join(zlib.crc32(data[i : i + 512]).to_bytes(4, "big") for i in range(0, at, 512))
+    sums += b"\0\0\0\1" * (-(-len(data) // 512) - at // 512)
+    (path.parent / f".{path.name}.crc").write_bytes(b"crc\0" + (512).to_bytes(4, "big") + sums)
+
+
+def test_bad_files_are_left_out_whole_and_listed(spark, tmp_path):
+    root = write_tree(tmp_path, TREE | {"cut.txt": b"@@1 cut line\n" * 40_000, "none.txt": b"@@2 no\n" * 50, "whole.txt": b"@@3 yes\n" * 400})
+    break_file(tmp_path / "cut.txt", 409_600)
+    break_file(tmp_path / "none.txt", 0)
+    with pytest.raises(Exception):
+        scan_corpus(spark, root).collect()
+    found = {r.uri.rpartition("/")[2]: r.outcome for r in file_outcomes(spark, root).collect()}
+    assert {k: v for k, v in found.items() if v != "read"} == {"cut.txt": "cut short", "none.txt": "unreadable"}
+    assert {"bom.txt", "mix.txt", "whole.txt"} <= {k for k, v in found.items() if v == "read"}
+    rows = scan_corpus(spark, root, skip_bad_files=True).collect()
+    names = [r.file.rpartition("/")[2] for r in rows]
+    assert "cut.txt" not in names and "none.txt" not in names and names.count("whole.txt") == 400 and names.count("A.TXT") == 5
+    order = {r.file.rpartition("/")[2]: r.file_order for r in list_files(spark, root).collect()}
+    for name in ("whole.txt", "z.txt"):  # those left out keep their place in the order
+        own = sorted((r.sequence, r.line_num) for r in rows if r.file.endswith(f"/{name}"))
+        assert own == [(order[name] * 2_000_000 + i + 1, i) for i in range(len(own))]
+
+
+def test_order_of_many_files_takes_no_single_task(spark):
+    plan_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    names = spark.range(100_000).select(F.concat(F.lit("/d/f"), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit(".txt")).alias("file"))
+    numbered = number_rows(names, [F.split("file", "/"), "file"], (), "file_order")
+    assert "windowspecdefinition" not in plan_of(numbered)
+    assert numbered.where("file_order <> CAST(substring(file, 5, 6) AS BIGINT)").isEmpty()
