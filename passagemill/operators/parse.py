@@ -49,6 +49,13 @@ def _source_parts(column: str) -> tuple[Column, Column]:
     return line, F.split(line, f"(?:{WS})+", len(SOURCE_FIELDS))
 
 
+def source_states(df: DataFrame, column: str = "value") -> tuple[Column, Column]:
+    """Whether a metadata line is loaded, and whether it is rejected; a blank one is neither."""
+    line, parts = _source_parts(column)
+    whole = F.size(parts) == len(SOURCE_FIELDS)
+    return (line != "") & whole, (line != "") & ~whole
+
+
 def parse_sources(df: DataFrame, column: str = "value") -> DataFrame:
     """Seven whitespace-separated fields per line; the last keeps its inner blanks.
 

@@ -11,16 +11,15 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from passagemill.functions.text import clean_text
 from passagemill.operators.conversations import format_conversations
-from passagemill.operators.parse import parse_lines, parse_sources, source_rejects
+from passagemill.operators.parse import parse_lines, parse_sources, source_states
 from passagemill.operators.relate import attach_sources, fits_broadcast, number_copies
 from passagemill.operators.split import KEY, SEED, TRAIN_RATIO, exact_split, first_eval_key, key_position, shuffle_key
-from passagemill.plans.audit import audit_counts
+from passagemill.plans.audit import Audit
 from passagemill.schemas import MERGED, conform
 from passagemill.sinks import preview, remove, require_free, write_datasets
-from passagemill.sources.files import (
-    changed_files, file_blocks, file_states, list_files, number_lines, place_blocks, read_lines, scan_corpus,
-)
+from passagemill.sources.files import changed_files, file_blocks, file_states, first_pass, number_in_place, number_lines, place_blocks
 from passagemill.sources.metadata import read_metadata_lines
+from passagemill.storage import default_store, shared_folder, store_in
 
 # What tells two merged rows apart: the line, and the source row joined to it.
 SPLIT_BY = ("file_order", "line_num", "words", "genre", "year", "source", "title", "pubInfo", "copy")
@@ -49,6 +48,7 @@ class JobResult:
     audit: DataFrame
     preview: DataFrame | None
     staging: str
+    skipped: DataFrame | None = None
 
 
 def assemble(lines: DataFrame, sources: DataFrame, how: str = "auto", mode: str = "parser") -> DataFrame:
@@ -65,32 +65,40 @@ def assemble(lines: DataFrame, sources: DataFrame, how: str = "auto", mode: str
     return attach_sources(parsed, sources, how).withColumn("content", cleaned)
 
 
+def keyed_lines(lines: DataFrame, sources: DataFrame, seed: int = SEED, audit: Audit | None = None) -> DataFrame:
+    """Lines with their sources and ``shuffle_key``, parsed but not cleaned. ``sources`` come from ``number_copies``."""
+    parsed = parse_lines(lines) if audit is None else audit.watch(parse_lines(audit.watch(lines, "lines_collected")), "rows_before_join")
+    joined = attach_sources(parsed, sources)
+    return (joined if audit is None else audit.watch(joined, "rows_after_join")).withColumn(KEY, shuffle_key(SPLIT_BY, seed))
+
+
 def build_datasets(
     spark: SparkSession, corpus: str, sources: str, ratio: float = TRAIN_RATIO, seed: int = SEED,
     mode: str = "parser",
 ) -> Datasets:
-    """The data sets as lazy DataFrames; nothing runs until they are used.
+    """The data sets as lazy DataFrames, each of which scans the corpus once and cleans its own lines only.
 
-    Each use computes the whole plan. ``run_job`` stores what is needed more than once.
+    What they need to know is found at once: a first pass over the corpus for encodings and line numbers, and one that joins
+    ids and sources, without the texts, for the keys and with them the cut. The audit was counted during that pass.
     """
+    store, audit = default_store(spark), Audit()
     metadata = read_metadata_lines(spark, sources)
-    lines = scan_corpus(spark, corpus)
-    source_table = parse_sources(metadata)
-    merged = assemble(lines, number_copies(source_table), mode=mode)
-    train, held_out = (format_conversations(df) for df in exact_split(merged, ratio, seed, SPLIT_BY))
-    audit = audit_counts(
-        {
-            "files_found": list_files(spark, corpus),
-            "lines_collected": lines,
-            "sources_loaded": source_table,
-            "sources_rejected": source_rejects(metadata),
-            "rows_before_join": parse_lines(lines),
-            "rows_after_join": merged,
-            "train_rows": train,
-            "eval_rows": held_out,
-        }
+    loaded, rejected = source_states(metadata)
+    metadata = audit.watch(metadata, sources_loaded=loaded, sources_rejected=rejected)
+    source_table = store(number_copies(parse_sources(metadata)), "sources")
+    lines, files, blocks, _ = first_pass(spark, corpus, store)
+    numbered = number_in_place(lines, blocks, shared_folder(spark))
+    keys = store(keyed_lines(numbered, source_table, seed, audit).select(KEY), "keys")
+    cut = first_eval_key(keys, ratio).first()
+    in_train = F.lit(True) if cut is None else F.col(KEY) < cut[KEY]
+    train_rows, total = keys.agg(F.count_if(in_train), F.count("*")).first()
+    audit.note(files_found=files.count(), train_rows=train_rows, eval_rows=total - train_rows)
+    merged = keyed_lines(numbered, source_table, seed)
+    sides = (
+        format_conversations(merged.where(side).withColumn("content", clean_text(F.col("content"), mode)))
+        for side in (in_train, ~in_train)
     )
-    return Datasets(train, held_out, audit)
+    return Datasets(*sides, audit.table(spark))
 
 
 def _require(rows: int, what: str) -> int:
@@ -130,15 +138,19 @@ def _slice_edges(ratio: float) -> list[float]:
 
 def prepare_records(
     lines: DataFrame, files: DataFrame, sources: DataFrame, staging: str, ratio: float = TRAIN_RATIO,
-    seed: int = SEED, mode: str = "parser", scanned: bool = False,
+    seed: int = SEED, mode: str = "parser",
 ) -> Prepared:
-    """Everything up to the split, with three stored tables: sources, file blocks, records.
+    """Everything up to the split, for lines in the shape of ``read_lines`` from wherever, with stored tables below ``staging``."""
+    store = store_in(staging)
+    blocks = store(place_blocks(file_blocks(lines, store), files), "blocks")
+    return _records(number_lines(lines, blocks), blocks, sources, staging, ratio, seed, mode)
 
-    They cut the lineage, and their sizes decide what may be broadcast. ``lines`` is read twice.
-    ``scanned`` says that it comes straight from ``read_lines``, so that lines can be numbered in
-    their scan task.
-    """
-    spark = lines.sparkSession
+
+def _records(
+    numbered: DataFrame, blocks: DataFrame, sources: DataFrame, staging: str, ratio: float, seed: int, mode: str
+) -> Prepared:
+    """Sources and records as stored tables. They cut the lineage, and the size of the sources decides on their broadcast."""
+    spark, audit = numbered.sparkSession, Audit()
 
     def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         df.write.partitionBy(*partition_by).parquet(f"{staging}/{name}")
@@ -146,14 +158,13 @@ def prepare_records(
 
     source_table = stored(number_copies(sources), "sources")
     n_sources = _require(source_table.count(), "no source line could be read")
-    blocks = stored(place_blocks(file_blocks(lines), files), "blocks")
-    read = blocks.agg(
+    read = blocks.where("NOT skipped").agg(
         F.count_distinct("uri").alias("files"), F.sum("n_marked").alias("marked"), F.sum("n_parsed").alias("parsed")
     ).first()
     _require(read["marked"] or 0, "no tagged line was found")
     _require(read["parsed"] or 0, "no tagged line could be parsed")
 
-    numbered = number_lines(lines, blocks, map_side=scanned and fits_broadcast(blocks))
+    numbered = audit.watch(numbered, "lines_numbered")
     how = "broadcast" if fits_broadcast(source_table) else "salted"
     merged = assemble(numbered, source_table, how, mode)
     # Stored in three slices: surely train, around the cut, surely eval. Each side reads its own
@@ -161,7 +172,9 @@ def prepare_records(
     keyed = conform(merged, StructType([*MERGED, StructField("copy", LongType())])).withColumn(KEY, shuffle_key(SPLIT_BY, seed))
     slices = sum(((key_position() >= e).cast("int") for e in _slice_edges(ratio)), F.lit(0))
     records = stored(format_conversations(keyed.withColumn("slice", slices), keep=[KEY, "slice"]), "records", "slice")
-    n_records = _require(records.count(), "no line has a source")
+    if audit.count("lines_numbered") < read["marked"]:  # more than there are can be counted when tasks run again, never fewer
+        raise CorpusChangedError("lines seen by the first pass over the corpus were not seen by the second")
+    n_records = _require(records.count(), "no line has a source")  # from the files' footers
     cut = first_eval_key(records, ratio).first()
     counts = {
         "files_processed": read["files"],
@@ -176,45 +189,59 @@ def prepare_records(
 def run_job(
     spark: SparkSession, corpus: str, sources: str, output_base: str, ratio: float = TRAIN_RATIO,
     seed: int = SEED, mode: str = "parser", target_file_bytes: int = TARGET_FILE_BYTES,
-    write_mode: str = "errorifexists", keep_staging: bool = True,
+    write_mode: str = "errorifexists", keep_staging: bool = True, skip_bad_files: bool = False,
 ) -> JobResult:
-    """Run everything and write ``<output_base>_train.parquet`` and ``<output_base>_eval.parquet``.
+    """Run everything and write ``<output_base>_train.parquet`` and ``<output_base>_eval.parquet``, both or none.
 
-    Tables stored on the way stay in ``JobResult.staging`` unless ``keep_staging`` is false. A corpus file that is
-    added, removed or rewritten while the job reads stops it: ``CorpusChangedError``. The corpus is read twice; with block and
-    source tables that fit a broadcast its text is shuffled once, into output order.
+    Tables stored on the way stay in ``JobResult.staging`` unless ``keep_staging`` is false, then they go also if the job fails. A
+    corpus file that is added, removed or rewritten while the job reads stops it: ``CorpusChangedError``. A file that cannot be
+    read stops it too, or with ``skip_bad_files`` is left out whole: ``JobResult.skipped`` lists them (uri, length, outcome).
+    The corpus is read twice, three times with ``skip_bad_files``; its text is shuffled once, into output order.
     """
     require_free(spark, output_base, write_mode)
     staging = staging_folder(spark, f"{output_base}_staging")
-    file_states(spark, corpus).write.parquet(f"{staging}/files")
+    try:
+        return _run(spark, corpus, sources, output_base, staging, ratio, seed, mode, target_file_bytes, write_mode, keep_staging, skip_bad_files)
+    finally:
+        if not keep_staging:
+            remove(spark, staging)
+
+
+def _run(spark, corpus, sources, output_base, staging, ratio, seed, mode, target_file_bytes, write_mode, keep_staging, skip_bad_files) -> JobResult:
+    store, audit = store_in(staging), Audit()
+    before = store(file_states(spark, corpus), "listing")
     metadata = read_metadata_lines(spark, sources)
-    files = list_files(spark, corpus)
-    prepared = prepare_records(
-        read_lines(spark, corpus), files, parse_sources(metadata), staging, ratio, seed, mode, scanned=True
-    )
-    changed = changed_files(spark.read.parquet(f"{staging}/files"), file_states(spark, corpus)).limit(3).collect()
+    loaded, rejected = source_states(metadata)
+    metadata = audit.watch(metadata, sources_read=loaded, sources_rejected=rejected)
+    lines, files, blocks, outcomes = first_pass(spark, corpus, store, skip_bad_files)
+    numbered = number_in_place(lines, blocks, staging)
+    prepared = _records(numbered, blocks, parse_sources(metadata), staging, ratio, seed, mode)
+    changed = changed_files(before, file_states(spark, corpus)).limit(3).collect()
     if changed:
         raise CorpusChangedError("the corpus changed while it was read: " + ", ".join(r.uri for r in changed))
     stored_bytes = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{staging}/records/*")
         .agg(F.sum("length")).first()[0]
     )
-    train, held_out = (prepared.side(name).drop("slice") for name in ("train", "eval"))
+    sides = {name: prepared.side(name).drop("slice") for name in ("train", "eval")}
     partitions = max(1, -(-stored_bytes // target_file_bytes))
-    paths = write_datasets(train, held_out, output_base, ratio, partitions, write_mode)
+    paths = write_datasets(sides["train"], sides["eval"], output_base, ratio, partitions, write_mode)
 
-    n_files = files.count()
-    written = {path: spark.read.parquet(path).count() for path in paths}
+    written = {path: spark.read.parquet(path).count() for path in paths}  # from the files' footers
     train_path, eval_path = (f"{output_base}_{side}.parquet" for side in ("train", "eval"))
+    n_files = before.count()
     counts = prepared.counts | {
         "files_found": n_files,
         "files_skipped": n_files - prepared.counts["files_processed"],
-        "sources_rejected": source_rejects(metadata).count(),
+        "sources_rejected": audit.count("sources_rejected"),
         "train_rows": written.get(train_path, 0),
         "eval_rows": written.get(eval_path, 0),
     }
-    audit = spark.createDataFrame(list(counts.items()), "metric string, value long")
+    skipped = None
+    if outcomes is not None:
+        bad = outcomes.where("outcome <> 'read'")
+        counts["files_unreadable"] = bad.count()
+        skipped = bad if keep_staging else spark.createDataFrame(bad.collect(), bad.schema)
+    table = spark.createDataFrame(list(counts.items()), "metric string, value long")
     shown = preview(spark.read.parquet(train_path)) if train_path in written else None
-    if not keep_staging:
-        remove(spark, staging)
-    return JobResult(paths, audit, shown, staging)
+    return JobResult(paths, table, shown, staging, skipped)

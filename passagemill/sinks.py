@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,24 +50,57 @@ def write_datasets(
 ) -> list[str]:
     """Write ``<base>_train.parquet`` and ``<base>_eval.parquet``, in the declared schema; an empty side is not written.
 
-    With ``overwrite`` an earlier run's file of an empty side is removed; with ``errorifexists`` both paths are looked
-    at before either is written.
+    Both sides are written beside their places and then renamed: a job that fails leaves what was there before, both sides of it.
+    With ``overwrite`` an earlier pair goes, also its side that is empty now; with ``errorifexists`` both paths are looked at before
+    either is written; ``append`` adds to them in place, and ``ignore`` leaves a side that is there.
 
     Both inputs carry ``shuffle_key``. ``partitions`` is the number of files of both sides together.
     """
-    require_free(train.sparkSession, base, mode)
-    written = []
+    spark = train.sparkSession
+    require_free(spark, base, mode)
+    sides = {}
     for df, side, low, high in ((train, "train", 0.0, ratio), (held_out, "eval", ratio, 1.0)):
-        path = f"{base}_{side}.parquet"
-        if df.isEmpty():
-            if mode == "overwrite":
-                remove(df.sparkSession, path)
-            continue
-        files = max(1, round(partitions * (high - low)))
-        ordered = conform(in_shuffled_order(df, files, low, high), RECORD)
-        ordered.write.mode(mode).option("compression", "snappy").parquet(path)
-        written.append(path)
-    return written
+        if not df.isEmpty():
+            files = max(1, round(partitions * (high - low)))
+            sides[side] = conform(in_shuffled_order(df, files, low, high), RECORD).write.option("compression", "snappy")
+    places = {side: f"{base}_{side}.parquet" for side in ("train", "eval")}
+    if mode not in ("error", "errorifexists", "overwrite"):
+        for side, writer in sides.items():
+            writer.mode(mode).parquet(places[side])
+        return [places[side] for side in sides]
+    beside = f"{base}_unfinished-{uuid4().hex}"
+    try:
+        for side, writer in sides.items():
+            writer.parquet(f"{beside}/{side}")
+        _swap_in(spark, {places[s]: f"{beside}/{s}" if s in sides else None for s in places}, beside)
+    finally:
+        remove(spark, beside)
+    return [places[side] for side in sides]
+
+
+def _swap_in(spark: SparkSession, new: dict[str, str | None], aside: str) -> None:
+    """Put each new folder in its place (None: nothing), what was there aside; if that fails, everything goes back."""
+    moved: list[tuple[str, str]] = []
+
+    def move(source: str, target: str) -> None:
+        files, where = _location(spark, source)
+        if not files.rename(where, _location(spark, target)[1]):
+            raise OSError(f"cannot move {source} to {target}")
+        moved.append((source, target))
+
+    try:
+        for i, (place, folder) in enumerate(new.items()):
+            files, where = _location(spark, place)
+            if files.exists(where):
+                _location(spark, aside)[0].mkdirs(_location(spark, aside)[1])
+                move(place, f"{aside}/old-{i}")
+            if folder is not None:
+                move(folder, place)
+    except Exception:
+        for source, target in reversed(moved):
+            files, where = _location(spark, target)
+            files.rename(where, _location(spark, source)[1])
+        raise
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

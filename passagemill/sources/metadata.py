@@ -12,7 +12,8 @@ from passagemill.operators.parse import parse_sources
 
 def read_metadata_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of one text file, UTF-8 if all of it is valid UTF-8, else Latin-1."""
-    lines = spark.read.text(path)
+    options = {"ignoreCorruptFiles": "false", "ignoreMissingFiles": "false"}  # whatever the session's: no lines are lost unseen
+    lines = spark.read.options(**options).text(path)
     utf8 = lines.select(F.bool_and(F.is_valid_utf8("value"))).scalar()
     latin1 = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     return lines.select(F.when(utf8, F.col("value")).otherwise(latin1).alias("value"))

@@ -5,8 +5,9 @@ import re
 
 import pytest
 
-from passagemill import schemas
+from passagemill import schemas, sinks
 from passagemill.__main__ import main
+from passagemill.plans import job
 from passagemill.plans.job import CorpusChangedError, NoDataError, build_datasets, prepare_records, run_job
 from passagemill.sinks import in_shuffled_order
 from passagemill.sources.files import list_files, read_lines
@@ -134,8 +135,7 @@ def test_empty_stages_stop_the_job(spark, tmp_path, text, source, message):
 def test_each_side_reads_its_slices_and_shuffles_once(spark, tmp_path):
     root, sources = corpus(tmp_path)
     prepared = prepare_records(
-        read_lines(spark, root), list_files(spark, root), scan_sources(spark, sources), str(tmp_path / "staging"),
-        scanned=True,
+        read_lines(spark, root), list_files(spark, root), scan_sources(spark, sources), str(tmp_path / "staging")
     )
     plan = in_shuffled_order(prepared.side("train").drop("slice"), 4)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(slice" in plan
@@ -148,13 +148,13 @@ def test_a_corpus_that_changes_stops_the_job(spark, tmp_path, monkeypatch, chang
     root, sources = corpus(tmp_path, n=5)
     target = tmp_path / "corpora" / ("c.txt" if change == "added" else "a.txt")
 
-    def prepared_then_changed(*args, **options):
-        result = prepare_records(*args, **options)
+    def prepared_then_changed(*args, real=job._records):
+        result = real(*args)
         text = "" if change == "added" else target.read_text()
         target.unlink() if change == "removed" else target.write_text(text[:40] if change == "shortened" else text + "\n@@1 more")
         return result
 
-    monkeypatch.setattr("passagemill.plans.job.prepare_records", prepared_then_changed)
+    monkeypatch.setattr(job, "_records", prepared_then_changed)
     with pytest.raises(CorpusChangedError, match=target.name):
         run_job(spark, root, sources, str(tmp_path / "o"))
     assert not (tmp_path / "o_train.parquet").exists()
@@ -201,3 +201,64 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     main()
     assert "rows_after_join" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "o_train.parquet")).count() > 0
+
+
+def test_one_scan_per_side(spark, tmp_path):
+    root, sources = corpus(tmp_path)
+    data = build_datasets(spark, root, sources)
+    for side in (data.train, data.eval):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan text") == 1
+    counts = {r.metric: r.value for r in data.audit.collect()}
+    n = len(expected(tmp_path))
+    assert counts["rows_after_join"] == n and counts["train_rows"] == int(n * 0.8) and counts["eval_rows"] == n - int(n * 0.8)
+    assert (counts["files_found"], counts["sources_rejected"], counts["lines_collected"]) == (2, 1, 400)
+
+
+def test_both_sides_or_none(spark, tmp_path, monkeypatch):
+    root, sources = corpus(tmp_path)
+    base = f"{tmp_path}/out"
+    result = run_job(spark, root, sources, base)
+    before = [sorted(flat(spark.read.parquet(path))) for path in result.paths]
+    moves = []
+
+    def fail_at_second(spark_, uri, real=sinks._location):
+        moves.append(uri)
+        if uri.endswith("/eval"):
+            raise OSError("no more")
+        return real(spark_, uri)
+
+    monkeypatch.setattr(sinks, "_location", fail_at_second)
+    with pytest.raises(OSError, match="no more"):
+        run_job(spark, root, sources, base, seed=7, write_mode="overwrite", keep_staging=False)
+    monkeypatch.undo()
+    assert [sorted(flat(spark.read.parquet(path))) for path in result.paths] == before
+    assert not [n for n in os.listdir(tmp_path) if "unfinished" in n]
+    again = run_job(spark, root, sources, base, seed=7, write_mode="overwrite")
+    assert again.paths == result.paths and [sorted(flat(spark.read.parquet(path))) for path in again.paths] != before
+
+
+def test_staging_goes_when_the_job_fails(spark, tmp_path, monkeypatch):
+    root, _ = corpus(tmp_path)
+    (tmp_path / "none.txt").write_text("no source\n")
+    
+    for keep in (True, False):
+        folder = tmp_path / f"staging-{keep}"
+        monkeypatch.setattr(job, "staging_folder", lambda *_, folder=folder: str(folder))
+        with pytest.raises(NoDataError):
+            run_job(spark, root, str(tmp_path / "none.txt"), f"{tmp_path}/out", keep_staging=keep)
+        assert folder.exists() == keep
+
+
+def test_bad_files_are_skipped_and_counted(spark, tmp_path):
+    root, sources = corpus(tmp_path)
+    bad = tmp_path / "corpora" / "bad.txt"
+    bad.write_text("@@1 lost line\n" * 200)
+    (bad.parent / ".bad.txt.crc").write_bytes(b"crc\0" + (512).to_bytes(4, "big") + b"\0\0\0\1" * 6)
+    with pytest.raises(Exception, match="(?i)checksum"):
+        run_job(spark, root, sources, f"{tmp_path}/strict")
+    result = run_job(spark, root, sources, f"{tmp_path}/out", skip_bad_files=True, keep_staging=False)
+    assert [(r.uri.rpartition("/")[2], r.outcome) for r in result.skipped.collect()] == [("bad.txt", "unreadable")]
+    counts = {r.metric: r.value for r in result.audit.collect()}
+    assert (counts["files_found"], counts["files_skipped"], counts["files_unreadable"]) == (3, 1, 1)
+    assert sorted(x for path in result.paths for x in flat(spark.read.parquet(path))) == expected(tmp_path)

@@ -131,15 +131,33 @@ _CLEAN_CONTENT = clean("joined", "sequence", "content")
 SPLIT_FIELDS = ["file_order", "line_num", "words", "genre", "year", "source", "title", "pubInfo", "copy"]
 SPLIT_KEY = "md5('42:' || " + " || ".join(f"coalesce(length(CAST(j.{f} AS VARCHAR)) || ':' || j.{f}, '-')" for f in SPLIT_FIELDS) + ")"
 # One source per id here, so every copy number is 1 and ``sequence`` identifies a merged row.
-CORPUS_TO_DATASETS = f"""
-    WITH joined AS (SELECT c.*, {SOURCE_COLUMNS}, 1 AS copy FROM {CONTENT} c JOIN {SOURCES} s ON c.id = s.id),
+def sides(content: str) -> str:
+    """Every record with its side, its place there and its key."""
+    return f"""
+    WITH joined AS (SELECT c.*, {SOURCE_COLUMNS}, 1 AS copy FROM {content} c JOIN {SOURCES} s ON c.id = s.id),
     cleaned AS ({_CLEAN_CONTENT}),
-    ranked AS (SELECT j.sequence, j.year, j.source, k.content, row_number() OVER (ORDER BY {SPLIT_KEY}) AS r,
-        count(*) OVER () AS n FROM joined j JOIN cleaned k ON j.sequence = k.sequence)
-    SELECT CASE WHEN r <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'eval' END AS split, source,
-        CAST(0 AS BIGINT) AS score, {FLAT}
+    ranked AS (SELECT j.sequence, j.year, j.source, k.content, {SPLIT_KEY} AS shuffle_key, row_number() OVER (ORDER BY {SPLIT_KEY}) AS r,
+        floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) AS cut FROM joined j JOIN cleaned k ON j.sequence = k.sequence)
+    SELECT CASE WHEN r <= cut THEN 'train' ELSE 'eval' END AS split, source, CAST(0 AS BIGINT) AS score, {FLAT}, shuffle_key,
+        CAST(CASE WHEN r <= cut THEN r - 1 ELSE r - 1 - cut END AS BIGINT) AS place
     FROM (SELECT *, {q(PROMPT)} || content AS human, {reply('year')} AS gpt FROM ranked)"""
 
+
+CORPUS_TO_DATASETS = f"SELECT * EXCLUDE (place, shuffle_key) FROM ({sides(CONTENT)})"
+
+# The tree of files that some queries write: a file per language and bucket, documents in order.
+TREE_FILES = """
+    (SELECT DISTINCT lang, lpad(CAST(doc_id % 40 AS VARCHAR), 2, '0') AS bucket, dense_rank() OVER (ORDER BY lang, lpad(CAST(doc_id % 40 AS VARCHAR), 2, '0')) - 1
+        AS file_order FROM documents)"""
+TREE_TAGGED = f"""
+    (SELECT file_order, row_number() OVER (PARTITION BY file_order ORDER BY doc_id, pos) - 1 AS line_num, 'lang=' || lang || '/bucket=' || bucket AS folder,
+        {strip("CASE WHEN pos % 5 = 4 THEN value ELSE ' ' || chr(9) || '@@' || doc_id || ' ' || value END")} AS line
+     FROM (SELECT *, lpad(CAST(doc_id % 40 AS VARCHAR), 2, '0') AS bucket FROM {LINES}) JOIN {TREE_FILES} USING (lang, bucket))"""
+TREE_PLACED = f"""
+    (SELECT folder AS file, file_order, line_num, file_order * 2000000 + row_number() OVER (PARTITION BY file_order ORDER BY line_num) AS sequence, line
+        FROM {TREE_TAGGED} WHERE line LIKE '@@%')"""
+TREE_CONTENT = f"({parsed('file, file_order, line_num, sequence', TREE_PLACED)})"
+
 _JOINED_COUNT = f"(SELECT count(*) FROM {CONTENT} c JOIN {SOURCES} s ON c.id = s.id)"
 _TRAIN_COUNT = f"CAST(floor({_JOINED_COUNT} * CAST(0.8 AS DOUBLE)) AS BIGINT)"
 AUDIT = " UNION ALL ".join(
@@ -196,5 +214,9 @@ ORACLE = {
     "preview": f"""SELECT source, '[2 messages]' AS conversations FROM {RECORDS} ORDER BY CAST(id AS BIGINT) LIMIT 5""",
     "audit_counts": AUDIT,
     "corpus_to_datasets": CORPUS_TO_DATASETS,
-    "run_job": f"SELECT * EXCLUDE (split) FROM ({CORPUS_TO_DATASETS})",
+    "run_job": f"SELECT * EXCLUDE (shuffle_key) FROM ({sides(TREE_CONTENT)})",
+    "build_datasets": f"SELECT * EXCLUDE (place, shuffle_key) FROM ({sides(TREE_CONTENT)})",
+    "list_files": f"SELECT 'lang=' || lang || '/bucket=' || bucket AS folder, file_order FROM {TREE_FILES}",
+    "scan_tree": f"SELECT * FROM {TREE_PLACED}",
+    "skip_bad_files": f"""SELECT file AS folder, file_order, line_num, line, 'first' AS left_out FROM {TREE_PLACED} WHERE file_order <> 0""",
 }

@@ -15,15 +15,17 @@ from pyspark.sql.window import Window
 from passagemill.functions.markup import html_unescape, strip_markup
 from passagemill.functions.text import apply_rules, clean_text, collapse_ws, mask_redactions, strip_ws
 from passagemill.operators.conversations import format_conversations
-from passagemill.operators.parse import marker_lines, parse_lines, parse_sources, source_rejects
+from passagemill.operators.ordering import number_rows
+from passagemill.operators.parse import marker_lines, parse_lines, parse_sources, source_rejects, source_states
 from passagemill.operators.relate import attach_sources, number_copies, ordered_merge, union_batches
-from passagemill.operators.split import label_split
-from passagemill.plans.audit import audit_counts
-from passagemill.plans.job import SPLIT_BY, assemble, prepare_records, run_job, staging_folder
+from passagemill.operators.split import label_keyed, label_split
+from passagemill.plans.audit import Audit
+from passagemill.plans.job import SPLIT_BY, build_datasets, keyed_lines, prepare_records, run_job, staging_folder
 from passagemill.sinks import preview
 from passagemill.sources.files import decode_fallback as decode_lines
-from passagemill.sources.files import file_blocks, place_blocks, scan_corpus as scan_files
+from passagemill.sources.files import file_blocks, file_outcomes, list_files, place_blocks, scan_corpus as scan_files
 from passagemill.sources.files import number_lines as number_file_lines
+from passagemill.storage import store_in
 
 BLOCK_LINES = 40
 
@@ -247,7 +249,7 @@ def records(spark, sf_dir):
     return format_conversations(merged_documents(spark, sf_dir).withColumn("year", year), keep=["id"])
 
 
-def flat(df: DataFrame, *keep: str) -> DataFrame:
+def flat(df: DataFrame, *keep: Column | str) -> DataFrame:
     one, two = F.get("conversations", F.lit(0)), F.get("conversations", F.lit(1))
     return df.select(
         *keep, "source", "score", one["from"].alias("from1"), one["value"].alias("value1"),
@@ -272,24 +274,17 @@ def first_records(spark, sf_dir):
     return preview(records(spark, sf_dir).orderBy(F.col("id").cast("long")))
 
 
-def _merged_lines(spark, sf_dir) -> DataFrame:
-    return assemble(numbered_lines(spark, sf_dir), number_copies(sources(spark, sf_dir)))
-
-
 def audit(spark, sf_dir):
-    lines, merged = numbered_lines(spark, sf_dir), _merged_lines(spark, sf_dir)
-    labelled = label_split(merged, by=SPLIT_BY)
-    return audit_counts(
-        {
-            "lines_collected": lines,
-            "sources_loaded": sources(spark, sf_dir),
-            "sources_rejected": rejects(spark, sf_dir),
-            "rows_before_join": parse_lines(lines),
-            "rows_after_join": merged,
-            "train_rows": labelled.where(F.col("split") == "train"),
-            "eval_rows": labelled.where(F.col("split") == "eval"),
-        }
-    )
+    """All counts while two tables are written: the sources, and the keys of the merged rows."""
+    counts, store = Audit(), store_in(scratch(spark))
+    metadata = source_lines(spark, sf_dir)
+    loaded, rejected = source_states(metadata)
+    watched = counts.watch(metadata, sources_loaded=loaded, sources_rejected=rejected)
+    source_table = store(number_copies(parse_sources(watched)), "sources")
+    keys = store(keyed_lines(numbered_lines(spark, sf_dir), source_table, audit=counts).select("shuffle_key"), "keys")
+    in_train = F.col("split") == "train"
+    counts.watch(label_keyed(keys), train_rows=in_train, eval_rows=~in_train).write.format("noop").mode("overwrite").save()
+    return counts.table(spark)
 
 
 def corpus_to_datasets(spark, sf_dir):
@@ -300,13 +295,85 @@ def corpus_to_datasets(spark, sf_dir):
     return flat(union_batches(sides), "split")
 
 
+def written_tree(spark, sf_dir) -> str:
+    """The texts as files ``lang=../bucket=../``, one per folder, in the order of doc_id; returns their root.
+
+    Every fifth line is untagged. Lines of even buckets end in CR and LF, French and German files are Latin-1.
+    """
+    root = f"{scratch(spark)}/corpora"
+    bucket = F.lpad((F.col("doc_id") % 40).cast("string"), 2, "0")
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda value, pos: F.when(pos % 5 == 4, value).otherwise(F.concat(F.lit(" \t@@"), F.col("doc_id"), F.lit(" "), value)),
+    )
+    value = F.when(F.col("doc_id") % 40 % 2 == 0, F.array_join(lines, "\r\n")).otherwise(F.array_join(lines, "\n"))
+    encoded = F.when(F.col("lang").isin("fr", "de"), F.encode(value, "ISO-8859-1").cast("string")).otherwise(value)
+    docs = documents(spark, sf_dir).select("doc_id", "lang", bucket.alias("bucket"), encoded.alias("value"))
+    one_task_each = docs.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "doc_id")
+    one_task_each.select("lang", "bucket", "value").write.partitionBy("lang", "bucket").text(root)
+    return root
+
+
+def folder_of(file: str) -> Column:
+    return F.regexp_extract(file, "(lang=[^/]*/bucket=[^/]*)/[^/]*$", 1)
+
+
+def listed_files(spark, sf_dir):
+    """The files of a tree with several levels, in order, by their folders."""
+    return list_files(spark, written_tree(spark, sf_dir)).select(folder_of("file").alias("folder"), "file_order")
+
+
+def tree_lines(spark, sf_dir):
+    """A tree of files in two encodings and with two kinds of line ends, scanned: places and lineage as the library gives them."""
+    return scan_files(spark, written_tree(spark, sf_dir)).withColumn("file", folder_of("file"))
+
+
+def spoil(spark: SparkSession, uri: str) -> None:
+    """Flip the first byte of a file behind the back of the file system, which keeps checksums (a local one; others do not let us)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    raw = path.getFileSystem(spark._jsc.hadoopConfiguration()).getRawFileSystem()
+    read = raw.open(path)
+    data = bytes(read.readAllBytes())
+    read.close()
+    out = raw.create(path, True)
+    out.write(bytearray([data[0] ^ 1]) + bytearray(data[1:]))
+    out.close()
+
+
+def without_bad_files(spark, sf_dir):
+    """A tree whose first file cannot be read, scanned with bad files left out; with the outcome of the file of each line."""
+    root = written_tree(spark, sf_dir)
+    first = list_files(spark, root).where("file_order = 0").first()
+    spoil(spark, first["uri"])
+    bad = {r["uri"]: r["outcome"] for r in file_outcomes(spark, root).where("outcome <> 'read'").collect()}
+    lines = scan_files(spark, root, skip_bad_files=True).select(folder_of("file").alias("folder"), "file_order", "line_num", "line")
+    return lines.withColumn("left_out", F.lit(", ".join("first" if uri == first["uri"] else uri for uri in sorted(bad))))
+
+
+def source_file(spark, sf_dir) -> str:
+    """A metadata file in Latin-1 with a blank line behind each line."""
+    path = f"{scratch(spark)}/sources"
+    value = F.encode(F.concat("value", F.lit("\n \t")), "ISO-8859-1").cast("string")
+    source_lines(spark, sf_dir).select(value).write.text(path)
+    return path
+
+
+def datasets(spark, sf_dir):
+    """The lazy data sets of a tree of files, with the side of each record."""
+    found = build_datasets(spark, written_tree(spark, sf_dir), source_file(spark, sf_dir))
+    return flat(union_batches([df.withColumn("split", F.lit(side)) for side, df in (("train", found.train), ("eval", found.eval))]), "split")
+
+
 def job(spark, sf_dir):
-    """The texts as a tree of files and a metadata file, the public job over them, and both outputs read back."""
-    folder = scratch(spark)
-    tagged_files(spark, sf_dir).write.text(f"{folder}/corpora/part")
-    source_lines(spark, sf_dir).write.text(f"{folder}/sources")
-    result = run_job(spark, f"{folder}/corpora", f"{folder}/sources", f"{folder}/out", keep_staging=False)
-    return flat(union_batches([spark.read.parquet(path) for path in result.paths]))
+    """A tree of files and a metadata file, the public job over them, and both outputs read back: side and place of each record."""
+    result = run_job(spark, written_tree(spark, sf_dir), source_file(spark, sf_dir), f"{scratch(spark)}/out", keep_staging=False)
+    sides = []
+    for path in result.paths:
+        rows = flat(spark.read.parquet(path), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+        placed = number_rows(rows, ["file", "row"], (), "place").drop("file", "row")
+        sides.append(placed.withColumn("split", F.lit(path.rpartition("_")[2].removesuffix(".parquet"))))
+    return union_batches(sides)
 
 
 QUERIES = {
@@ -338,4 +405,8 @@ QUERIES = {
     "audit_counts": audit,
     "corpus_to_datasets": corpus_to_datasets,
     "run_job": job,
+    "build_datasets": datasets,
+    "list_files": listed_files,
+    "scan_tree": tree_lines,
+    "skip_bad_files": without_bad_files,
 }
