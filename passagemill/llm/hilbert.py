@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve over several metadata columns, for files that can be pruned by any of them.
 
-Each column is quantised into cells of about equal numbers of rows, the cells are numbered along the curve, and the rows are
+Each column is quantised into cells of about equal numbers of rows, by cut points: numbers by a sketch, text by the cumulated
+counts of its different values, whole ones. The cells are numbered along the curve, and the rows are
 sorted by that number and cut into runs whose sizes differ by at most one row (the law ``rows``). Neighbours on the curve are
 neighbours in every column, so a shard covers a narrow range of each.
 
@@ -10,6 +11,8 @@ tasks; a row's place is its place in its partition plus the sizes of the partiti
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import NumericType
 
 from passagemill.llm.shared import store, store_from_python
+from passagemill.operators.ordering import running_totals
 
 BITS = 8
 _PLACE_BITS = 33  # of monotonically_increasing_id, below the partition's number
@@ -45,30 +49,46 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """The column as a number in its own order: numbers as they are, text by its first seven bytes."""
-    if isinstance(df.schema[name].dataType, NumericType):
-        return F.col(name).cast("double")
-    head = F.rpad(F.substring(F.hex(F.col(name).cast("string").cast("binary")), 1, 14), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
-def quantiles(numbers: DataFrame, names: list[str], bits: int = BITS) -> dict[str, list[float]]:
-    """Up to 2^bits - 1 rising cut points per column, from one mergeable sketch each; none for a column of nulls."""
+def number_cuts(df: DataFrame, names: list[str], bits: int = BITS) -> dict[str, list]:
+    """2^bits - 1 rising cut points per numeric column, from one mergeable sketch each; none for a column of nulls."""
+    if not names:
+        return {}
     at = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = numbers.agg(*(F.percentile_approx(n, at, 10_000).alias(n) for n in names)).first()
-    return {n: sorted(set(row[n] or [])) for n in names}
-
-
-def _curve(names: list[str], cuts: dict[str, list[float]], bits: int) -> Column:
-    edges = [np.array(cuts[n]) for n in names]
+    row = df.agg(*(F.percentile_approx(F.col(n).cast("double"), at, 10_000).alias(n) for n in names)).first()
+    return {n: sorted(row[n] or []) for n in names}
+
+
+def text_cuts(df: DataFrame, name: str, bits: int = BITS) -> list[str]:
+    """2^bits - 1 rising cut points of a column by whole values, in their bytewise order: what stands where the cumulated counts
+    of the different values pass each share of the rows. At most as many rows reach the driver."""
+    values = df.select(F.col(name).cast("string").alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
+    placed = running_totals(values.withColumn("all", F.lit(0)), ["value"], ["n"], ["all"], store)
+    total = values.agg(F.sum("n")).first()[0]
+    if total is None:
+        return []
+    cell = F.floor(F.col("n_before") * F.lit(1 << bits) / F.lit(total)).cast("int").alias("cell")
+    firsts = sorted(placed.groupBy(cell).agg(F.min("value")).collect())
+    cuts: list[str] = []
+    for cell_, value in firsts:  # a cell without a value of its own begins where the next one does
+        cuts += [value] * (cell_ - len(cuts))
+    return cuts
+
+
+def _curve(kinds: list[str], cuts: list[list], bits: int) -> Column:
+    def cells(values: pd.Series, kind: str, edges: list) -> np.ndarray:
+        if kind == "number":
+            found = np.searchsorted(np.array(edges, float), values.to_numpy(float), side="right")
+        else:  # code points and UTF-8 have the same order
+            code, different = pd.factorize(values)
+            found = np.array([*(bisect_right(edges, v) for v in different), 0], np.int64)[code]
+        return np.where(values.isna(), 0, found)
 
     @pandas_udf("long")
     def place(values: pd.DataFrame) -> pd.Series:
-        cells = [np.where(v.isna(), 0, np.searchsorted(e, v.to_numpy(), side="right")) for (_, v), e in zip(values.items(), edges)]
-        return pd.Series(hilbert_index(np.stack(cells, axis=1), bits))
+        columns = [cells(v, kind, edges) for (_, v), kind, edges in zip(values.items(), kinds, cuts)]
+        return pd.Series(hilbert_index(np.stack(columns, axis=1), bits))
 
-    return place(F.struct(*names))
+    return place(F.struct(*(f"d{i}" for i in range(len(kinds)))))
 
 
 def shard_rows(df: DataFrame, dimensions: list[str], n_shards: int, tie: str, bits: int = BITS) -> DataFrame:
@@ -81,10 +101,12 @@ def shard_rows(df: DataFrame, dimensions: list[str], n_shards: int, tie: str, bi
     if len(dimensions) * bits > 62:
         raise ValueError("the curve index does not fit a long")
     df = df.drop("curve_index", "shard", "slot")
-    numbered = df.select(F.struct("*").alias("row"), *(as_number(df, d).alias(f"d{i}") for i, d in enumerate(dimensions)))
-    names = [f"d{i}" for i in range(len(dimensions))]
-    index = _curve(names, quantiles(numbered, names, bits), bits)
-    placed = store_from_python(numbered.select("row", index.alias("curve_index")), "curve")
+    kinds = ["number" if isinstance(df.schema[d].dataType, NumericType) else "text" for d in dimensions]
+    numbers = number_cuts(df, [d for d, kind in zip(dimensions, kinds) if kind == "number"], bits)
+    cuts = [numbers[d] if kind == "number" else text_cuts(df, d, bits) for d, kind in zip(dimensions, kinds)]
+    own = (F.col(d).cast("double" if kind == "number" else "string").alias(f"d{i}") for i, (d, kind) in enumerate(zip(dimensions, kinds)))
+    numbered = df.select(F.struct("*").alias("row"), *own)
+    placed = store_from_python(numbered.select("row", _curve(kinds, cuts, bits).alias("curve_index")), "curve")
     order = ["curve_index", F.col(f"row.{tie}"), F.xxhash64("row")]
     in_order = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     in_order = store(in_order.withColumn("at", F.monotonically_increasing_id()), "in_order")
