@@ -12,6 +12,7 @@ import json
 import sys
 from html.entities import html5
 from html.parser import HTMLParser
+from zlib import crc32
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -116,16 +117,24 @@ _REFERENCE = "&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][-.a-zA-Z0-9]*;?"
 # Comments, hidden containers, declarations and instructions, tags.
 _HIDDEN = "|".join(rf"(?i:<{name}\b[^>]*>.*?</{name}\s*>)" for name in HIDDEN_CONTAINERS)
 _MARKUP = rf"<!--.*?-->|{_HIDDEN}|<[!?][^>]*>|</?[a-zA-Z][^>]*>"
-# References that nearly every page is made of; looked up before the full table.
-_COMMON = ("amp", "lt", "gt", "quot", "nbsp", "apos")
 _WINDOWS_1252 = {
     str(n): bytes([n]).decode("windows-1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 }
 
 
+_BUCKETS = 4096
+
+
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    """Value for ``key``, null if there is none. The table is one literal, folded into a map once."""
-    return F.try_element_at(F.from_json(F.lit(json.dumps(table)), "map<string,string>"), key)
+    """Value for ``key``, null if there is none, in a time that does not depend on the size of the table.
+
+    The table is one literal, folded once: an array of maps of a few names each, as Spark searches a map from its first key on.
+    """
+    buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    for name, value in table.items():
+        buckets[crc32(name.encode()) % _BUCKETS][name] = value
+    bucket = (F.crc32(key.cast("binary")) % _BUCKETS).cast("int")
+    return F.try_element_at(F.get(F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>"), bucket), key)
 
 
 def _decode_reference(ref: Column) -> Column:
@@ -140,7 +149,6 @@ def _decode_reference(ref: Column) -> Column:
     char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")), "utf-32")
     numeric = F.coalesce(_lookup(_WINDOWS_1252, number.cast("string")), char)
     named = F.coalesce(
-        _lookup({name: NAMED_REFERENCES[name] for name in _COMMON}, body),
         _lookup(NAMED_REFERENCES, body),
         F.concat(F.lit("&"), body),
     )

@@ -14,25 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from passagemill.functions.markup import UNKNOWN_MARK, has_markup, strip_markup
+from passagemill.functions.patterns import WS, WS_RANGES, WS_SET, java_pattern
 
-# The characters that count as whitespace, which is what "\s" means in every rule
-# below. Java's own "\s" knows six of them and Spark's trim only U+0020, so they are spelled out.
-WS_RANGES = (
-    (0x09, 0x0D),
-    (0x1C, 0x20),
-    (0x85, 0x85),
-    (0xA0, 0xA0),
-    (0x1680, 0x1680),
-    (0x2000, 0x200A),
-    (0x2028, 0x2029),
-    (0x202F, 0x202F),
-    (0x205F, 0x205F),
-    (0x3000, 0x3000),
-)
 WS_CHARS = "".join(chr(c) for lo, hi in WS_RANGES for c in range(lo, hi + 1))
-_WS_SET = "".join(f"\\u{lo:04x}-\\u{hi:04x}" for lo, hi in WS_RANGES)
-# The intersection lets Java reject printable ASCII with one range test instead of ten.
-WS = rf"[[\x00-\x20\x7f-￿]&&[{_WS_SET}]]"
 
 # The cleanup rules, applied in this order. The last pattern is the short form of
 # "lazily up to the first run of semicolons"; the apostrophe rule changes nothing.
@@ -80,7 +64,7 @@ def collapse_ws(c: Column) -> Column:
 
 def mask_redactions(c: Column, mask: str = UNKNOWN_MARK) -> Column:
     """Replace each run of ``@`` marks, with the blanks after them, by one marker."""
-    return F.regexp_replace(c, f"@[@{_WS_SET}]*+", mask)
+    return F.regexp_replace(c, f"@[@{WS_SET}]*+", mask)
 
 
 def _literal(pattern: str) -> str | None:
@@ -93,16 +77,15 @@ def _literal(pattern: str) -> str | None:
 def apply_rules(c: Column, rules: Sequence[tuple[str, str]] = RULES) -> Column:
     """Apply (pattern, replacement) rules one after the other.
 
-    Literal patterns become ``replace`` (a byte search), the others ``regexp_replace`` with ``\\s``
-    written out as the Unicode set. The built-in list takes a shorter way to the same result.
+    Patterns have Python's syntax and meaning (see ``java_pattern``); replacements are taken as they are. Literal patterns
+    become ``replace`` (a byte search), the others ``regexp_replace``. The built-in list takes a shorter way to the same result.
     """
     if rules is RULES:
         return _apply_builtin_rules(c)
     for pattern, replacement in rules:
         text = _literal(pattern)
         if text is None:
-            java = pattern.replace(r"[^\s", f"[^{_WS_SET}").replace(r"\s", WS)
-            c = F.regexp_replace(c, java, re.sub(r"([\\$])", r"\\\1", replacement))
+            c = F.regexp_replace(c, java_pattern(pattern), re.sub(r"([\\$])", r"\\\1", replacement))
         elif text != replacement:
             c = F.replace(c, F.lit(text), F.lit(replacement))
     return c
@@ -136,7 +119,7 @@ def _apply_builtin_rules(c: Column) -> Column:
     brackets = f"([('])(?:{WS})++|{WS}(?<!{WS}{WS}){WS}*+(?=[)'])"
     c = _only_with(c, ("(", ")", "'"), lambda text: F.regexp_replace(text, brackets, "$1"))
     c = F.replace(c, F.lit("&;"), F.lit(""))
-    return _only_with(c, ("**",), lambda text: F.regexp_replace(text, rf"\*\*[^{_WS_SET};]*+;++", ""))
+    return _only_with(c, ("**",), lambda text: F.regexp_replace(text, rf"\*\*[^{WS_SET};]*+;++", ""))
 
 
 def strip_inline_markup(c: Column, mode: str = "parser") -> Column:

@@ -2,11 +2,14 @@
 
 import random
 import re
+from html import unescape
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
 
 from passagemill.functions.markup import html_unescape, strip_markup, visible_text
+from passagemill.functions.patterns import java_pattern
 from passagemill.functions.text import RULES, WS_CHARS, apply_rules, clean_text, collapse_ws, mask_redactions, strip_ws
 
 GOLDEN = [
@@ -141,3 +144,52 @@ def test_plain_rows_do_not_reach_the_parser(spark):
     df = spark.createDataFrame([("plain @ text",), ("<b>x</b>",)], "text string")
     plan = df.select(clean_text(F.col("text")).alias("t"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "CASE WHEN" in plan.split("ArrowEvalPython")[1]
+
+
+def test_classes_mean_what_python_means(spark):
+    """Every class, in and out of sets, for every character that the Java runtime knows."""
+    classes = [r"\s", r"\S", r"\w", r"\W", r"\d", r"\D", ".", r"[^\s\d]", r"[\W_]", r"[^\W\d_]", r"[\S\n]", r"[&&[a^-]", r"[^\]\\-]", "[^a]"]
+    codes = spark.range(1, 0x110000).where("id < 55296 OR id > 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "utf-32")
+    seen = codes.select("id", char.alias("c"), F.rlike(char, F.lit(r"\P{Cn}")).alias("known"))
+    matched = [F.rlike("c", F.lit(rf"\A(?:{java_pattern(p)})\z")).alias(f"m{i}") for i, p in enumerate(classes)]
+    found = seen.where("known").select("c", *matched).toPandas()
+    assert len(found) > 130000
+    for i, p in enumerate(classes):
+        want = found.c.map(lambda c, p=re.compile(p): p.fullmatch(c) is not None)
+        assert list(found.c[want != found[f"m{i}"]]) == [], p
+
+
+def test_random_rules_equal_python(spark):
+    rng = random.Random(23)
+    atoms = [r"\s", r"\S", r"\w", r"\W", r"\d", r"\b", r"\B", ".", "a", "é", "ß", "-", r"\.", "[^\\s;]", r"[\w.-]", r"[^\W\d]", "[a-c&&b]",
+             "(a|b )", "(?:x|y)", "(?=a)", "(?!b)", "(?<=a)", r"(?<!\s)", "^", "$", r"\Z", "(?>a+)"]
+    counts = ["", "", "", "+", "*", "?", "{1,2}", "+?", "*+"]
+    patterns = []
+    while len(patterns) < 60:
+        made = "".join(a + (rng.choice(counts) if a not in ("^", "$", r"\Z", r"\b", r"\B") and "(?" not in a[:2] else "") for a in rng.choices(atoms, k=rng.randint(1, 4)))
+        patterns.append(made + rng.choice(["", "", "|b;"]))
+    patterns += [r"(a)(\w)\1", r"(?P<q>['\"]).*?(?P=q)", r"(?:\d+\s?)+km\b", "x{2}", "a{,2}b", "(?!)"]
+    pieces = list("aabbcxy;.-& \n\t0189'\"_") + ["é", "ß", " ", " ", "٣", "漢", "\U0001d7d8", "\r\n", "km", "\U0001f600"]
+    texts = random_texts(300, pieces, seed=5)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(8)
+    rows = df.select("text", *[apply_rules(F.col("text"), [(p, "<$1\\>")]).alias(f"r{i}") for i, p in enumerate(patterns)]).collect()
+    for i, p in enumerate(patterns):
+        for r in rows:
+            assert r[f"r{i}"] == re.sub(p, lambda _: "<$1\\>", r.text), (p, r.text)
+
+
+@pytest.mark.parametrize("pattern", ["(?i)a", "(?i:a)b", "(?m)^a", "(a)?(?(1)b|c)"])
+def test_rules_without_a_counterpart_are_refused(pattern):
+    with pytest.raises(ValueError, match="flags|no counterpart"):
+        java_pattern(pattern)
+
+
+def test_all_named_references(spark):
+    """Each name of the table, alone and in another's company; a name that is none stays."""
+    names = sorted({name.rstrip(";") for name in html5}) + ["nosuch", "ampx"]
+    texts = [f"a&{name};b" for name in names] + ["&amp;" + f"&{name}; " for name in names]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    for r in df.select("text", html_unescape(F.col("text")).alias("got")).collect():
+        want = unescape(r.text) if "nosuch" not in r.text and "ampx" not in r.text else r.text.replace("&amp;", "&").replace(";b", "b").replace("; ", " ")
+        assert r.got == want, r.text
