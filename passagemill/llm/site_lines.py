@@ -39,6 +39,8 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     """site, line_hashes: of each site that has any, the lines on more than ``ratio`` of its pages and at least ``min_pages``.
 
     Needs site and lines (array). A line counts once per page; its identity is its 64-bit hash. Pages without a site form none.
+    ``line_hashes`` has a slot for each of the site's lines, and each line lies in the slot of its hash modulo their number: a line
+    is looked up in one slot, however many lines a site has.
     """
     hashes = F.explode(F.array_distinct(F.transform("lines", lambda line: F.xxhash64(line)))).alias("line_hash")
     known = pages.where("site IS NOT NULL")
@@ -46,7 +48,13 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     total = known.groupBy("site").agg(F.count("*").alias("n_site"))
     common = containing.where(F.col("n_containing") >= min_pages).join(store(total, "site_pages"), "site")
     common = common.where(F.col("n_containing") / F.col("n_site") > ratio)
-    return common.groupBy("site").agg(F.collect_list("line_hash").alias("line_hashes"))
+    common = store(common.select("site", "line_hash"), "site_common")
+    sizes = common.groupBy("site").agg(F.count("*").alias("n_slots"))
+    slots = sizes.select("site", F.explode(F.sequence(F.lit(0), F.col("n_slots") - 1)).alias("slot"))
+    filed = common.join(sizes, "site").select("site", F.pmod("line_hash", F.col("n_slots")).alias("slot"), "line_hash")
+    filled = slots.join(filed, ["site", "slot"], "left").groupBy("site", "slot").agg(F.collect_list("line_hash").alias("line_hashes"))
+    in_order = F.sort_array(F.collect_list(F.struct("slot", "line_hashes")))
+    return filled.groupBy("site").agg(in_order.getField("line_hashes").alias("line_hashes"))
 
 
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -57,6 +65,7 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MI
     """
     own = pages.select("page_id", "site", F.coalesce("lines", F.array().cast("array<string>")).alias("lines"))
     judged = own.join(store(boilerplate(own, ratio, min_pages), "site_boilerplate"), "site", "left")
-    kept = F.filter("lines", lambda line: ~F.array_contains("line_hashes", F.xxhash64(line)))
+    slot = lambda line: F.get("line_hashes", F.pmod(F.xxhash64(line), F.size("line_hashes")).cast("int"))
+    kept = F.filter("lines", lambda line: ~F.array_contains(slot(line), F.xxhash64(line)))
     kept = F.when(F.col("line_hashes").isNull(), F.col("lines")).otherwise(kept)
     return judged.select("page_id", "site", "lines", kept.alias("kept_lines"))

@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from passagemill.llm.site_lines import drop_boilerplate, html_lines
 
 
@@ -41,3 +43,12 @@ def test_lines_of_html(spark):
 
 def test_empty_table(spark):
     assert drop_boilerplate(spark.createDataFrame([], "page_id long, site string, lines array<string>")).collect() == []
+
+
+def test_long_lists_of_common_lines(spark):
+    """Four pages of 30,000 lines that they share, each with one line of its own, and a text line of a megabyte."""
+    shared = F.transform(F.sequence(F.lit(1), F.lit(30000)), lambda i: F.concat(F.lit("line "), i.cast("string")))
+    own = F.array(F.concat(F.lit("own "), F.col("id").cast("string")), F.repeat(F.col("id").cast("string"), F.lit(1 << 20)))
+    pages = spark.range(4).select(F.col("id").alias("page_id"), F.lit("hot").alias("site"), F.concat(shared, own, shared).alias("lines"))
+    kept = drop_boilerplate(pages).select("page_id", F.transform("kept_lines", lambda x: F.left(x, F.lit(5)))).orderBy("page_id")
+    assert [tuple(r) for r in kept.collect()] == [(i, [f"own {i}", str(i) * 5]) for i in range(4)]
