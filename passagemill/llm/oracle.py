@@ -73,6 +73,19 @@ def _node(url: str) -> str:
 
 
 _VALUE = """\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)"""
+_CANONICAL_TAG = (
+    """'(?is)^<link\\b.*\\brel\\s*=\\s*(?:"(?:[^"]*\\s)?canonical(?:\\s[^"]*)?"|''(?:[^'']*\\s)?canonical(?:\\s[^'']*)?''|canonical[\\s/>])'"""
+)
+_BLANKS = "E' \\t\\r\\n\\f'"
+
+
+def _decoded(text: str) -> str:
+    """Only the references that addresses are written with."""
+    for reference, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&")):
+        text = f"replace({text}, '{reference}', '{char}')"
+    return text
+
+
 _SCHEME, _ORIGIN = "regexp_extract(url, '(?s)^(.*?)://', 1)", f"regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || {_host('url')}"
 _FOLDER = f"regexp_replace({_path('url')}, '[^/]*$', '')"
 
@@ -83,13 +96,16 @@ WITH RECURSIVE rules(action, rule_host, rule_path) AS (
 tags AS (
   SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages WHERE contains(url, '://')
 ),
+told AS (
+  SELECT url, regexp_matches(tag, {_CANONICAL_TAG}) AS canonical,
+    trim(CASE WHEN regexp_matches(tag, {_CANONICAL_TAG}) THEN regexp_extract(tag, '(?i)\\bhref{_VALUE}', 1)
+      ELSE regexp_extract(tag, '(?i)\\bcontent{_VALUE}', 1) END, '"''') AS value
+  FROM tags WHERE regexp_matches(tag, {_CANONICAL_TAG}) OR regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
+),
 named AS (
-  SELECT url, trim(CASE
-    WHEN regexp_matches(tag, '(?i)^<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b')
-      THEN trim(regexp_extract(tag, '(?i)\\bhref{_VALUE}', 1), '"''')
-    WHEN regexp_matches(tag, '(?i)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
-      THEN trim(regexp_extract(trim(regexp_extract(tag, '(?i)\\bcontent{_VALUE}', 1), '"'''), '(?i)url\\s*=\\s*(.*)$', 1), '"'' ')
-  END) AS href FROM tags
+  SELECT url, trim(
+    CASE WHEN canonical THEN decoded ELSE trim(regexp_extract(decoded, '(?is)url\\s*=\\s*(.*)$', 1), '"''' || {_BLANKS}) END, {_BLANKS}
+  ) AS href FROM (SELECT url, canonical, {_decoded('value')} AS decoded FROM told)
 ),
 targets AS (
   SELECT url, CASE

@@ -1,6 +1,9 @@
 import random
 
+import duckdb
+
 from passagemill.llm import url_filter as U
+from passagemill.llm.queries import ORACLE, QUERIES
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"), ("block", "org", "/fr/x"), ("block", "a.org", "/p")]
 
@@ -117,3 +120,35 @@ def test_links_over_lines_with_more_words_or_entities(spark):
     }
     rows = spark.createDataFrame([("http://h.org/p", h) for h in cases], "url string, html string")
     assert sorted(r.b for r in U.html_edges(rows).collect()) == sorted(t for t in cases.values() if t)
+
+
+def test_query_with_aliases_equals_sql(spark, tmp_path):
+    """The registered query and its SQL on pages whose aliases decide: chains, allow before block, tags written in many ways."""
+    link = lambda rel, href: f"<html><head><link\n rel={rel}\r\n href={href}></head>"
+    pages = [
+        (1, "http://a.info/1", link("'alternate canonical'", "'http://b.info/2'")),  # a chain to a blocked host
+        (2, "http://b.info/2", link('"canonical"', '"//shop.net/3"')),
+        (3, "http://shop.net/3", None),
+        (4, "http://c.info/", '<META HTTP-EQUIV=Refresh CONTENT="0; URL=http://x.net/?a=1&amp;b=2">'),  # by a reference in the address
+        (5, "http://x.net/?a=1&b=2#top", ""),
+        (6, "http://d.info/p/q", link("canonical", "../r") + link('"canonical stylesheet"', "'http://y.org/fr/'")),  # allowed by an alias
+        (7, "http://d.info/p/../r", link("canonical", "'http://y.net/'")),
+        (8, "http://e.info/", link("'notcanonical'", "'http://z.net/'") + link("canonicals", "http://z.net/")),  # no aliases
+        (9, "http://e.info", "<link rel='canonical' href=' '><link rel=canonical><meta http-equiv='refresh' content='5'>"),
+        (10, "http://example.com/de/x", link("canonical", "http://y.org/fr/")),  # its own rule comes first
+        (11, "HTTP://G.info/a?b", link("canonical", "'?c'")),
+        (12, "http://g.info/a?c", link("canonical", "&quot;")),
+        (13, "http://h.info/", '<meta name=x content=y http-equiv="refresh"\n content="1;\turl=\'http://net/\' ">'),
+        (None, None, link("canonical", "http://net/")),
+        (3, "http://shop.net/3", None),
+    ]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    cursor = con.execute(ORACLE["op7_redirect_equivalence"])
+    columns = [d[0] for d in cursor.description]
+    found = [tuple(r) for r in QUERIES["op7_redirect_equivalence"](spark, str(tmp_path)).select(*columns).collect()]
+    assert sorted(found, key=str) == sorted(cursor.fetchall(), key=str)
+    verdict = {r[columns.index("page_id")]: r[columns.index("verdict")] for r in found}
+    assert {i for i, v in verdict.items() if v == "block"} == {1, 2, 3, 4, 5, 10}
+    assert sum(r[columns.index("component")] is not None for r in found) >= 10
