@@ -27,6 +27,12 @@ def has_id(line: Column) -> Column:
     return _id_end(line) > 0
 
 
+def line_id(line: Column) -> Column:
+    """The id of a stripped tagged line that ``has_id``."""
+    start = len(MARKER) + 1
+    return F.substring(line, F.lit(start), _id_end(line) - start)
+
+
 def marker_lines(df: DataFrame, column: str = "value") -> DataFrame:
     """Keep lines that start with the marker once stripped; ``line`` is the stripped text."""
     return df.withColumn("line", strip_ws(F.col(column))).where(is_marked(F.col("line")))
@@ -35,11 +41,9 @@ def marker_lines(df: DataFrame, column: str = "value") -> DataFrame:
 def parse_lines(df: DataFrame, column: str = "line") -> DataFrame:
     """Split ``@@<id> <text>`` into id and content; a line without a space after its id is dropped."""
     line = F.col(column)
-    end = _id_end(line)
-    start = len(MARKER) + 1
     return df.where(has_id(line)).select(
-        F.substring(line, F.lit(start), end - start).alias("id"),
-        F.substring(line, end + 1, F.lit(2**31 - 1)).alias("content"),
+        line_id(line).alias("id"),
+        F.substring(line, _id_end(line) + 1, F.lit(2**31 - 1)).alias("content"),
         *[c for c in df.columns if c != column],
     )
 

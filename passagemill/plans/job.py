@@ -12,14 +12,16 @@ from pyspark.sql.types import LongType, StructField, StructType
 from passagemill.functions.text import clean_text
 from passagemill.operators.conversations import format_conversations
 from passagemill.operators.parse import parse_lines, parse_sources, source_states
-from passagemill.operators.relate import attach_sources, fits_broadcast, number_copies
+from passagemill.operators.relate import attach_sources, fits_broadcast, hot_in_sketches, number_copies, pack_sources
 from passagemill.operators.split import KEY, SEED, TRAIN_RATIO, exact_split, first_eval_key, key_position, shuffle_key
 from passagemill.plans.audit import Audit
 from passagemill.schemas import MERGED, conform
 from passagemill.sinks import preview, remove, require_free, write_datasets
-from passagemill.sources.files import changed_files, file_blocks, file_states, first_pass, number_in_place, number_lines, place_blocks
+from passagemill.sources.files import (
+    BLOCK, changed_files, count_blocks, file_states, first_pass, number_in_place, number_lines, ordered_blocks, place_blocks,
+)
 from passagemill.sources.metadata import read_metadata_lines
-from passagemill.storage import default_store, shared_folder, store_in
+from passagemill.storage import Store, default_store, shared_folder, store_in
 
 # What tells two merged rows apart: the line, and the source row joined to it.
 SPLIT_BY = ("file_order", "line_num", "words", "genre", "year", "source", "title", "pubInfo", "copy")
@@ -51,17 +53,23 @@ class JobResult:
     skipped: DataFrame | None = None
 
 
-def assemble(lines: DataFrame, sources: DataFrame, how: str = "auto", mode: str = "parser") -> DataFrame:
+def assemble(
+    lines: DataFrame, sources: DataFrame, how: str = "auto", mode: str = "parser", content_hot: DataFrame | None = None
+) -> DataFrame:
     """Parse, clean and join: the merged table, with any further columns of ``sources``.
 
     Only lines that have a source are cleaned. Broadcast sources are joined twice, first as a
-    filter, so that a line is cleaned once even if its id has several sources.
+    filter, so that a line is cleaned once even if its id has several sources. For a salted join ``sources`` come from
+    ``pack_sources``: a line is moved and cleaned before it meets the single sources.
     """
     parsed = parse_lines(lines)
     cleaned = clean_text(F.col("content"), mode)
     if how == "broadcast":
         wanted = parsed.join(F.broadcast(sources.select("id")), "id", "left_semi")
         return attach_sources(wanted.withColumn("content", cleaned), sources, how)
+    if how == "salted":
+        met = attach_sources(parsed, sources, how, content_hot=content_hot).withColumn("content", cleaned)
+        return met.select(*parsed.columns, F.inline("members"))
     return attach_sources(parsed, sources, how).withColumn("content", cleaned)
 
 
@@ -86,13 +94,13 @@ def build_datasets(
     loaded, rejected = source_states(metadata)
     metadata = audit.watch(metadata, sources_loaded=loaded, sources_rejected=rejected)
     source_table = store(number_copies(parse_sources(metadata)), "sources")
-    lines, files, blocks, _ = first_pass(spark, corpus, store)
-    numbered = number_in_place(lines, blocks, shared_folder(spark))
+    seen = first_pass(spark, corpus, store)
+    numbered = number_in_place(seen.lines, seen.blocks, shared_folder(spark))
     keys = store(keyed_lines(numbered, source_table, seed, audit).select(KEY), "keys")
     cut = first_eval_key(keys, ratio).first()
     in_train = F.lit(True) if cut is None else F.col(KEY) < cut[KEY]
     train_rows, total = keys.agg(F.count_if(in_train), F.count("*")).first()
-    audit.note(files_found=files.count(), train_rows=train_rows, eval_rows=total - train_rows)
+    audit.note(files_found=seen.files.count(), train_rows=train_rows, eval_rows=total - train_rows)
     merged = keyed_lines(numbered, source_table, seed)
     sides = (
         format_conversations(merged.where(side).withColumn("content", clean_text(F.col("content"), mode)))
@@ -142,22 +150,38 @@ def prepare_records(
 ) -> Prepared:
     """Everything up to the split, for lines in the shape of ``read_lines`` from wherever, with stored tables below ``staging``."""
     store = store_in(staging)
-    blocks = store(place_blocks(file_blocks(lines, store), files), "blocks")
-    return _records(number_lines(lines, blocks), blocks, sources, staging, ratio, seed, mode)
+    joined = _stored_sources(sources, store)
+    counts = count_blocks(lines, store, with_ids=joined.packed is not None)
+    blocks = store(place_blocks(ordered_blocks(counts, store), files), "blocks")
+    return _records(number_lines(lines, blocks), blocks, counts, joined, staging, ratio, seed, mode)
+
+
+@dataclass
+class StoredSources:
+    """The number of sources, and their table: single if it can be broadcast, else packed."""
+
+    rows: int
+    single: DataFrame
+    packed: DataFrame | None
+
+
+def _stored_sources(sources: DataFrame, store: Store) -> StoredSources:
+    table = store(number_copies(sources), "sources")
+    return StoredSources(table.count(), table, None if fits_broadcast(table) else store(pack_sources(table), "packed_sources"))
 
 
 def _records(
-    numbered: DataFrame, blocks: DataFrame, sources: DataFrame, staging: str, ratio: float, seed: int, mode: str
+    numbered: DataFrame, blocks: DataFrame, block_counts: DataFrame, sources: StoredSources, staging: str, ratio: float, seed: int, mode: str
 ) -> Prepared:
-    """Sources and records as stored tables. They cut the lineage, and the size of the sources decides on their broadcast."""
+    """The records as a stored table. The size of the sources has decided on their broadcast; if they are packed, the first pass
+    has left sketches of the ids."""
     spark, audit = numbered.sparkSession, Audit()
 
     def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         df.write.partitionBy(*partition_by).parquet(f"{staging}/{name}")
         return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
 
-    source_table = stored(number_copies(sources), "sources")
-    n_sources = _require(source_table.count(), "no source line could be read")
+    n_sources = _require(sources.rows, "no source line could be read")
     read = blocks.where("NOT skipped").agg(
         F.count_distinct("uri").alias("files"), F.sum("n_marked").alias("marked"), F.sum("n_parsed").alias("parsed")
     ).first()
@@ -165,8 +189,11 @@ def _records(
     _require(read["parsed"] or 0, "no tagged line could be parsed")
 
     numbered = audit.watch(numbered, "lines_numbered")
-    how = "broadcast" if fits_broadcast(source_table) else "salted"
-    merged = assemble(numbered, source_table, how, mode)
+    if sources.packed is None:
+        merged = assemble(numbered, sources.single, "broadcast", mode)
+    else:
+        hot = stored(hot_in_sketches(block_counts.select(*BLOCK, "parsed_utf8", "sketch"), "parsed_utf8"), "hot_ids")
+        merged = assemble(numbered, sources.packed, "salted", mode, hot)
     # Stored in three slices: surely train, around the cut, surely eval. Each side reads its own
     # slices only; which rows it takes is decided by the exact key.
     keyed = conform(merged, StructType([*MERGED, StructField("copy", LongType())])).withColumn(KEY, shuffle_key(SPLIT_BY, seed))
@@ -213,9 +240,10 @@ def _run(spark, corpus, sources, output_base, staging, ratio, seed, mode, target
     metadata = read_metadata_lines(spark, sources)
     loaded, rejected = source_states(metadata)
     metadata = audit.watch(metadata, sources_read=loaded, sources_rejected=rejected)
-    lines, files, blocks, outcomes = first_pass(spark, corpus, store, skip_bad_files)
+    sources_read = _stored_sources(parse_sources(metadata), store)
+    lines, _, blocks, outcomes, block_counts = first_pass(spark, corpus, store, skip_bad_files, with_ids=sources_read.packed is not None)
     numbered = number_in_place(lines, blocks, staging)
-    prepared = _records(numbered, blocks, parse_sources(metadata), staging, ratio, seed, mode)
+    prepared = _records(numbered, blocks, block_counts, sources_read, staging, ratio, seed, mode)
     changed = changed_files(before, file_states(spark, corpus)).limit(3).collect()
     if changed:
         raise CorpusChangedError("the corpus changed while it was read: " + ", ".join(r.uri for r in changed))

@@ -21,6 +21,7 @@ Files that cannot be read whole fail the job, or with ``file_outcomes`` are left
 
 from __future__ import annotations
 
+from typing import NamedTuple
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +30,8 @@ from pyspark.sql.window import Window
 
 from passagemill.functions.text import strip_ws
 from passagemill.operators.ordering import number_rows, running_totals
-from passagemill.operators.parse import MARKER, has_id, is_marked
-from passagemill.operators.relate import fits_broadcast
+from passagemill.operators.parse import MARKER, has_id, is_marked, line_id
+from passagemill.operators.relate import fits_broadcast, id_sketch
 from passagemill.sources.side_table import look_up, write_side_table
 from passagemill.storage import Store, default_store, shared_folder
 
@@ -135,11 +136,10 @@ def _latin1(value: Column) -> Column:
     return F.decode(value.cast("binary"), "ISO-8859-1")
 
 
-def file_blocks(lines: DataFrame, store: Store | None = None) -> DataFrame:
-    """One row per block: its file's encoding, and the lines and tagged lines in front of it. Reads the lines at once.
+def count_blocks(lines: DataFrame, store: Store | None = None, with_ids: bool = False) -> DataFrame:
+    """One row per block, stored: its lines, its tagged lines in either encoding, and whether it is valid UTF-8.
 
-    A line is valid UTF-8 exactly if its bytes are, since line breaks never fall inside a character,
-    so a file is UTF-8 if all lines of all its blocks are; otherwise all of it is Latin-1.
+    ``with_ids`` adds ``sketch``, of the ids of its lines (see ``operators.relate.id_sketch``).
     """
     value = F.col("value")
     as_utf8, as_latin1 = strip_ws(value), strip_ws(_latin1(value))
@@ -150,6 +150,11 @@ def file_blocks(lines: DataFrame, store: Store | None = None) -> DataFrame:
     def count(test: Column) -> Column:
         return F.count_if(F.when(untagged, False).when(plain, True).otherwise(test))
 
+    sketch = []
+    if with_ids:
+        line = strip_ws(F.when(F.is_valid_utf8(value), value).otherwise(_latin1(value)))
+        lines = lines.withColumn("id", F.when(~untagged & is_marked(line) & has_id(line), line_id(line)))
+        sketch = [id_sketch("id").alias("sketch")]
     blocks = lines.groupBy(*BLOCK).agg(
         F.min("pos").alias("first_pos"),
         F.count(F.lit(1)).alias("n_lines"),
@@ -158,9 +163,23 @@ def file_blocks(lines: DataFrame, store: Store | None = None) -> DataFrame:
         count(is_marked(as_latin1)).alias("marked_latin1"),
         count(is_marked(as_utf8) & has_id(as_utf8)).alias("parsed_utf8"),
         count(is_marked(as_latin1) & has_id(as_latin1)).alias("parsed_latin1"),
+        *sketch,
     )
+    return (store or default_store(lines.sparkSession))(blocks, "block_counts")
+
+
+def file_blocks(lines: DataFrame, store: Store | None = None) -> DataFrame:
+    """One row per block: its file's encoding, and the lines and tagged lines in front of it. Reads the lines at once."""
     store = store or default_store(lines.sparkSession)
-    blocks = store(blocks, "block_counts")
+    return ordered_blocks(count_blocks(lines, store), store)
+
+
+def ordered_blocks(blocks: DataFrame, store: Store) -> DataFrame:
+    """``file_blocks`` from the stored counts.
+
+    A line is valid UTF-8 exactly if its bytes are, since line breaks never fall inside a character,
+    so a file is UTF-8 if all lines of all its blocks are; otherwise all of it is Latin-1.
+    """
     encoding = blocks.groupBy("uri").agg(F.bool_and("valid").alias("utf8"))
     known = blocks.join(encoding, "uri").select(
         *BLOCK, "first_pos", "n_lines", "utf8",
@@ -259,14 +278,24 @@ def number_in_place(lines: DataFrame, blocks: DataFrame, folder: str, limit: int
     return number_lines(lines, blocks, map_side=True, side_table=path)
 
 
-def first_pass(
-    spark: SparkSession, root: str, store: Store, skip_bad_files: bool = False
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
-    """(lines, files, blocks, outcomes) of a corpus; files, blocks and outcomes are stored, outcomes only with ``skip_bad_files``."""
+class FirstPass(NamedTuple):
+    """What the first pass over a corpus leaves; all but the lines is stored, outcomes only with ``skip_bad_files``."""
+
+    lines: DataFrame
+    files: DataFrame
+    blocks: DataFrame
+    outcomes: DataFrame | None
+    counts: DataFrame
+
+
+def first_pass(spark: SparkSession, root: str, store: Store, skip_bad_files: bool = False, with_ids: bool = False) -> FirstPass:
+    """List the files and read the lines once; ``with_ids`` as for ``count_blocks``."""
     outcomes = file_outcomes(spark, root, store) if skip_bad_files else None
     lines = read_lines(spark, root, tolerant=skip_bad_files)
     files = store(list_files(spark, root, store), "files")
-    return lines, files, store(place_blocks(file_blocks(lines, store), files, outcomes), "blocks"), outcomes
+    counts = count_blocks(lines, store, with_ids)
+    blocks = store(place_blocks(ordered_blocks(counts, store), files, outcomes), "blocks")
+    return FirstPass(lines, files, blocks, outcomes, counts)
 
 
 def scan_corpus(spark: SparkSession, root: str, skip_bad_files: bool = False) -> DataFrame:
@@ -275,5 +304,5 @@ def scan_corpus(spark: SparkSession, root: str, skip_bad_files: bool = False) ->
     The first pass over the corpus runs at once; the rows come from a second one. With ``skip_bad_files`` files that cannot be
     read whole are left out whole (see ``file_outcomes``).
     """
-    lines, _, blocks, _ = first_pass(spark, root, default_store(spark), skip_bad_files)
-    return number_in_place(lines, blocks, shared_folder(spark))
+    seen = first_pass(spark, root, default_store(spark), skip_bad_files)
+    return number_in_place(seen.lines, seen.blocks, shared_folder(spark))

@@ -143,7 +143,7 @@ def test_numbers_from_a_side_table_without_any_exchange(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "60")
     try:
-        lines, _, blocks, _ = first_pass(spark, root, store_in(str(tmp_path / "store")))
+        lines, _, blocks, _, _ = first_pass(spark, root, store_in(str(tmp_path / "store")))
         numbered = number_in_place(lines, blocks, str(tmp_path / "store"), limit=0)
         plan = numbered._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan

@@ -1,6 +1,7 @@
 """Parsing, join, split and record formatting."""
 
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,11 @@ from pyspark.sql import functions as F
 from passagemill import schemas
 from passagemill.operators.conversations import format_conversations
 from passagemill.operators.parse import marker_lines, parse_lines, parse_sources, source_rejects
-from passagemill.operators.relate import attach_sources, fits_broadcast, number_copies, ordered_merge
+from passagemill.operators.relate import (
+    attach_sources, fits_broadcast, hot_in_sketches, id_sketch, number_copies, ordered_merge, pack_sources,
+)
 from passagemill.operators.split import exact_split, label_split, shuffle_key
+from passagemill.plans.job import assemble
 from passagemill.sinks import in_shuffled_order
 
 
@@ -162,3 +166,51 @@ def test_copies_are_unfolded_in_runs(spark):
     df = spark.createDataFrame([("a", None)] * 95 + [("b", "x")] * 10 + [("c", "x")] * 11, "id string, copies string").repartition(3)
     found = number_copies(df, run=10).collect()
     assert sorted((r.id, r.copy) for r in found) == [("a", i) for i in range(1, 96)] + [("b", i) for i in range(1, 11)] + [("c", i) for i in range(1, 12)]
+
+
+def test_packed_sources(spark):
+    """Every source is in one packed row of its id, a hot id's in several of about the same size."""
+    sources = number_copies(hot_tables(spark)[1])
+    packed = pack_sources(sources, run=5).select("id", F.size("members").alias("n"), "members")
+    single = packed.select("id", F.inline("members")).select(*sources.columns)
+    assert single.exceptAll(sources).isEmpty() and sources.exceptAll(single).isEmpty()
+    sizes = [r.n for r in packed.where("id = 'warm'").collect()]
+    assert sum(sizes) == 20 and 2 <= len(sizes) <= 4
+    assert packed.where("id NOT IN ('hot', 'warm')").groupBy("id").count().where("count > 1").isEmpty()
+    nothing = pack_sources(number_copies(schemas.empty(spark, schemas.SOURCES)))
+    assert nothing.collect() == []
+
+
+def test_hot_ids_from_sketches(spark, tmp_path):
+    """Merged sketches of many blocks name the ids that counting finds, with as many parts; null ids count nowhere."""
+    rows = spark.range(40000).select(
+        (F.col("id") % 60).alias("block"),
+        F.when(F.col("id") % 4 == 0, "hot").when(F.col("id") % 50 == 1, "warm").when(F.col("id") % 9 == 0, None)
+        .otherwise(F.col("id").cast("string")).alias("id"),
+    )
+    rows.groupBy("block").agg(F.count("id").alias("n"), id_sketch("id").alias("sketch")).write.parquet(f"{tmp_path}/blocks")
+    found = hot_in_sketches(spark.read.parquet(f"{tmp_path}/blocks"), "n", share=0.01)
+    counts = {r.id: r["count"] for r in rows.where("id IS NOT NULL").groupBy("id").count().collect()}
+    limit = 0.01 * sum(counts.values())
+    assert {r.id: r.content_parts for r in found.collect()} == {i: math.ceil(n / limit) for i, n in counts.items() if n > limit}
+
+
+def test_salted_join_reads_and_cleans_the_content_once(spark, tmp_path):
+    """With hot ids known the plan has one scan of the lines, and their cleaning is below the unpacking of sources."""
+    content, sources = hot_tables(spark)
+    numbered = number_copies(sources)
+    content.select(F.concat(F.lit("@@"), "id", F.lit(" "), "content").alias("line"), "file", "file_order", "line_num", "sequence").write.parquet(f"{tmp_path}/lines")
+    pack_sources(numbered).write.parquet(f"{tmp_path}/packed")
+    lines, packed = spark.read.parquet(f"{tmp_path}/lines"), spark.read.parquet(f"{tmp_path}/packed")
+    hot = spark.createDataFrame([("hot", 7), ("warm", 7)], "id string, content_parts int")
+    merged = assemble(lines, packed, "salted", content_hot=hot)
+    want = assemble(lines, numbered, "broadcast")
+    assert sorted(merged.columns) == sorted(want.columns) and merged.count() == want.count()
+    merged = merged.select(*want.columns)
+    assert merged.exceptAll(want).isEmpty() and want.exceptAll(merged).isEmpty()
+    plan = assemble(lines, packed, "salted", content_hot=hot)._jdf.queryExecution().optimizedPlan().toString()
+    steps = plan.splitlines()
+    assert sum("[line#" in s and "Relation" in s for s in steps) == 1
+    unpacked = next(i for i, s in enumerate(steps) if "inline(members" in s)
+    cleaned = [i for i, s in enumerate(steps) if "ArrowEvalPython" in s or "_parse_markup" in s]
+    assert cleaned and all(i > unpacked for i in cleaned)
