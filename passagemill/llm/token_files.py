@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 from collections.abc import Iterator
 from itertools import accumulate
@@ -39,18 +38,41 @@ MAGIC = b"PMTOKEN1"
 PIECES = 300_000
 #: Bytes of text that one file, and so one task, is meant for.
 FILE_BYTES = 32 << 20
-_AT_ONCE = 1 << 20  # characters encoded together
-_NOT_A_BREAK = re.compile(r" (?!\S)")
-_BREAK = re.compile(r" (?=\S)")
-_SIGNS = ".,;:!?"
+_AT_ONCE = 4 << 20  # bytes of text encoded together
+_GATHERED = 1 << 18  # pieces put in their places together
+#: What is split from a letter before it. The apostrophe is not among them: 's and the like are pieces of their own.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+_LEADS = np.zeros(256, bool)  # blank and line feed
+_LEADS[[0x20, 0x0A]] = True
+_BLANKS = [c.encode() for c in map(chr, range(0x3001)) if c.isspace()]
+_NO_BLANK = np.ones(256, bool)  # bytes that no blank character starts with
+_NO_BLANK[[b[0] for b in _BLANKS]] = False
+_WIDE_BLANKS = np.array([int.from_bytes(b.ljust(3, b"\0"), "big") for b in _BLANKS if len(b) > 1])
+
+
+def _piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts that lie behind each other start: at each text, and at a blank or line feed before a non-blank."""
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    lead = np.flatnonzero(_LEADS[data])
+    behind = padded[lead + 1]
+    cut = _NO_BLANK[behind]
+    wide = np.flatnonzero(~cut & (behind > 0x7F))
+    first, second, third = (padded[lead[wide] + k].astype(np.int64) for k in (1, 2, 3))
+    cut[wide] = ~np.isin(first << 16 | second << 8 | np.where(first < 0xE0, 0, third), _WIDE_BLANKS)
+    at = np.zeros(len(data) + 1, bool)
+    at[offsets] = True
+    cut &= ~at[lead + 1]  # the last character of a text leads nothing
+    at[lead[cut]] = True
+    return np.flatnonzero(at[:-1])
 
 
 class Encoder:
     """Ids of texts by a file of the tokenizers library; special strings in a text are special, or ordinary with ``plain``.
 
-    A byte-level BPE that splits by its own pattern always splits before a blank that a non-blank follows. Its texts are cut
-    there, and pieces met before are not encoded again; the ids are those of the whole text. Other tokenizers get whole texts,
-    and so do texts that hold a special string.
+    A byte-level BPE that splits by its own pattern always splits before a blank or line feed that a non-blank follows. Its texts
+    are cut there, and pieces met before are not encoded again; the ids are those of the whole text. Other tokenizers get whole
+    texts, and so do texts that hold a special string.
     """
 
     def __init__(self, path: str, plain: bool = False):
@@ -74,7 +96,7 @@ class Encoder:
     @staticmethod
     def _splits_before_blanks(spec: dict) -> bool:
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
-        plain = spec.get("normalizer") is None and all(t["special"] and " " not in t["content"] for t in spec.get("added_tokens") or [])
+        plain = spec.get("normalizer") is None and all(t["special"] and not {" ", "\n"} & set(t["content"]) for t in spec.get("added_tokens") or [])
         splits = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         return bool(plain and splits and model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges"))
 
@@ -89,22 +111,36 @@ class Encoder:
             apart = dict(zip(whole, self._ids([texts[i] for i in whole])))
             rest = iter(self.encode([t for i, t in enumerate(texts) if i not in apart]))
             return [np.array(apart[i], np.uint32) if i in apart else next(rest) for i in range(len(texts))]
-        cut = [(_BREAK.split(t) if _NOT_A_BREAK.search(t) else t.split(" ")) for t in texts]
         if len(self.known) > PIECES:
             self.known, self.before = {}, self.known
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces[1:])
-        self._meet(new)
-        heads = self._ids([pieces[0] for pieces in cut])
-        tails = (b"".join(map(self.known.__getitem__, pieces[1:])) for pieces in cut)
-        return [np.concatenate([np.array(h, np.uint32), np.frombuffer(t, np.uint32)]) for h, t in zip(heads, tails)]
-
-    def _meet(self, pieces: set[str]) -> None:
+        held = pa.array(texts, pa.large_string())
+        offsets = np.frombuffer(held.buffers()[1], np.int64, len(texts) + 1)
+        data = held.buffers()[2] or pa.py_buffer(b"")
+        start = _piece_starts(np.frombuffer(data, np.uint8, offsets[-1]), offsets)
+        bounds = pa.py_buffer(np.append(start, offsets[-1]))
+        pieces = pa.LargeStringArray.from_buffers(len(start), bounds, data).dictionary_encode()
+        return self._spelled(pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy(), np.searchsorted(start, offsets))
+
+    def _spelled(self, pieces: list[str], which: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
+        """The ids of texts, of which each has the pieces ``which`` from its first to that of the next."""
+        self._meet(pieces)
+        found = [self.known[piece] for piece in pieces]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        held = np.frombuffer(b"".join(found), np.uint32)
+        ends = np.concatenate([[0], np.cumsum(size[which])])
+        ids = np.empty(ends[-1], np.uint32)
+        for i in range(0, len(which), _GATHERED):
+            part = which[i : i + _GATHERED]
+            first, last = ends[i], ends[i + len(part)]
+            ids[first:last] = held[np.arange(first, last) + np.repeat(begin[part] - ends[i : i + len(part)], size[part])]
+        return [ids[a:b] for a, b in zip(ends[firsts].tolist(), ends[firsts[1:]].tolist())]
+
+    def _meet(self, pieces: list[str]) -> None:
         """See that all pieces are known. A letter and a sign are always split: what ends in signs is put together from its parts."""
         known, before = self.known, self.before
         ends = {}
-        todo = set()
+        todo: dict[str, None] = {}
         for piece in pieces:
             if piece in known:
                 continue
@@ -117,20 +153,25 @@ class Encoder:
                 if stem in before:
                     known[stem] = before[stem]
                 if stem not in known:
-                    todo.add(stem)
+                    todo[stem] = None
             else:
-                todo.add(piece)
-        self._learn(sorted(todo))
+                todo[piece] = None
+        self._learn(list(todo))
         tails = sorted({piece[len(stem) :] for piece, stem in ends.items()})
         tail_ids = {tail: np.array(ids, np.uint32).tobytes() for tail, ids in zip(tails, self._ids(tails))}
         known.update((piece, known[stem] + tail_ids[piece[len(stem) :]]) for piece, stem in ends.items())
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of pieces that follow a blank; many are encoded as one text and told apart by their bytes."""
-        groups = [pieces[i : i + 256] for i in range(0, len(pieces), 256)]
-        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+        """Remember the ids of pieces; many that were cut off are encoded as one text and told apart by their bytes."""
+        alone, led = [], []
+        for piece in pieces:  # the first of a text need not start as the others do
+            (led if piece[0] in " \n" and not piece[1:2].isspace() and len(piece) > 1 else alone).append(piece)
+        self.known.update((piece, np.array(ids, np.uint32).tobytes()) for piece, ids in zip(alone, self._ids(alone)))
+        n_bytes = np.diff(np.frombuffer(pa.array(led, pa.large_string()).buffers()[1], np.int64, len(led) + 1))
+        groups = [led[i : i + 256] for i in range(0, len(led), 256)]
+        for i, (group, ids) in enumerate(zip(groups, self._ids(["".join(g) for g in groups]))):
             ids = np.array(ids, np.uint32)
-            ends = np.fromiter(accumulate(len(p.encode()) + 1 for p in group), np.int64, len(group))
+            ends = np.cumsum(n_bytes[256 * i : 256 * i + len(group)])
             cuts = (4 * np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right")).tolist()
             raw = ids.tobytes()
             self.known.update((piece, raw[start:end]) for piece, start, end in zip(group, [0, *cuts], cuts))

@@ -18,10 +18,13 @@ def whole(text):
     return PLAIN.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from(list("ab Z9é日 \n\t\x0b\x1c\x85\xa0 '.,😀") + ["'s", "<|endoftext|>", "  "]), max_size=40).map("".join))
-def test_pieces_give_the_ids_of_the_whole_text(text):
-    assert T.encoder(PATH).encode([text])[0].tolist() == whole(text)
+LETTERS = list("ab Z9éß日ひ \n\r\t\x0b\x00\x1c\x7f\x85\xa0\u1680\u2003\u200b\u2028\u3000«»“—_-$ '.,😀") + ["'s", "<|endoftext|>", "  ", "\n\n", " \n", "ab", " the"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(LETTERS), max_size=30).map("".join), max_size=4))
+def test_pieces_give_the_ids_of_the_whole_text(texts):
+    assert [ids.tolist() for ids in T.encoder(PATH).encode(texts)] == [whole(text) for text in texts]
 
 
 @settings(deadline=None)
