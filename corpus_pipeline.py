@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from passagemill.llm import decontaminate, mixing, quality, simhash, token_files
 from passagemill.llm.queries import END_ID, default_tokenizer
-from passagemill.llm.shared import row_key, store
+from passagemill.llm.shared import row_key, settings, store
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,5 +69,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = store(docs, name)
+            with settings(spark, {"spark.sql.parquet.compression.codec": "zstd"}):  # whole texts, kept until the run is over
+                docs = store(docs, name)
     return docs
