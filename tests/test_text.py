@@ -2,13 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from html import unescape
 from html.entities import html5
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from passagemill.functions.markup import html_unescape, strip_markup, visible_text
+from passagemill.functions.markup import _parse_markup, html_unescape, strip_markup, visible_text
 from passagemill.functions.patterns import java_pattern
 from passagemill.functions.text import RULES, WS_CHARS, apply_rules, clean_text, collapse_ws, mask_redactions, strip_ws
 
@@ -193,3 +195,30 @@ def test_all_named_references(spark):
     for r in df.select("text", html_unescape(F.col("text")).alias("got")).collect():
         want = unescape(r.text) if "nosuch" not in r.text and "ampx" not in r.text else r.text.replace("&amp;", "&").replace(";b", "b").replace("; ", " ")
         assert r.got == want, r.text
+
+
+def test_parser_holds_pieces_of_a_batch_only():
+    texts = [None if i % 7 == 0 else f"<p>é{i}</p>" + "x" * 4000 for i in range(10_000)]
+    batch = pa.array(texts)
+    expected = [t if t is None else visible_text(t) for t in texts]
+    at = 0
+    tracemalloc.start()
+    for piece in _parse_markup.func(iter([batch, batch.slice(0, 0)])):
+        assert piece.to_pylist() == expected[at:at + len(piece)]
+        at += len(piece)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert at == len(texts)
+    assert peak < batch.nbytes  # as Python strings the batch alone takes twice its bytes
+
+
+def test_parser_keeps_rows_in_place_across_batches_and_pieces(spark):
+    texts = [None if i % 5 == 0 else f"<b>{i}</b>" + "é" * (i % 3) * 500_000 for i in range(60)] + [""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 13)
+        rows = df.select("i", strip_markup(F.col("text")).alias("text")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert {r.i: r.text for r in rows} == {i: t if t is None else visible_text(t) for i, t in enumerate(texts)}
