@@ -16,7 +16,7 @@ from passagemill.operators.relate import attach_sources, fits_broadcast, hot_in_
 from passagemill.operators.split import KEY, SEED, TRAIN_RATIO, exact_split, first_eval_key, key_position, shuffle_key
 from passagemill.plans.audit import Audit
 from passagemill.schemas import MERGED, conform
-from passagemill.sinks import preview, remove, require_free, write_datasets
+from passagemill.sinks import preview, remove, require_free, row_bytes, write_datasets
 from passagemill.sources.files import (
     BLOCK, changed_files, count_blocks, file_states, first_pass, number_in_place, number_lines, ordered_blocks, place_blocks,
 )
@@ -223,7 +223,8 @@ def run_job(
     Tables stored on the way stay in ``JobResult.staging`` unless ``keep_staging`` is false, then they go also if the job fails. A
     corpus file that is added, removed or rewritten while the job reads stops it: ``CorpusChangedError``. A file that cannot be
     read stops it too, or with ``skip_bad_files`` is left out whole: ``JobResult.skipped`` lists them (uri, length, outcome).
-    The corpus is read twice, three times with ``skip_bad_files``; its text is shuffled once, into output order.
+    The corpus is read twice, three times with ``skip_bad_files``; its text is shuffled once, into output order. The task that writes
+    a file reads and sorts rows of about ``target_file_bytes``; the file is as much smaller as Parquet packs them.
     """
     require_free(spark, output_base, write_mode)
     staging = staging_folder(spark, f"{output_base}_staging")
@@ -247,12 +248,8 @@ def _run(spark, corpus, sources, output_base, staging, ratio, seed, mode, target
     changed = changed_files(before, file_states(spark, corpus)).limit(3).collect()
     if changed:
         raise CorpusChangedError("the corpus changed while it was read: " + ", ".join(r.uri for r in changed))
-    stored_bytes = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{staging}/records/*")
-        .agg(F.sum("length")).first()[0]
-    )
     sides = {name: prepared.side(name).drop("slice") for name in ("train", "eval")}
-    partitions = max(1, -(-stored_bytes // target_file_bytes))
+    partitions = max(1, -(-row_bytes(prepared.records) // target_file_bytes))
     paths = write_datasets(sides["train"], sides["eval"], output_base, ratio, partitions, write_mode)
 
     written = {path: spark.read.parquet(path).count() for path in paths}  # from the files' footers

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from passagemill import schemas, sinks
 from passagemill.__main__ import main
@@ -95,6 +96,22 @@ def test_job_writes_both_sides_in_shuffled_order(spark, tmp_path):
     assert in_order == by_key[: len(in_order)]
 
 
+def test_files_are_sized_by_rows_not_by_their_stored_bytes(spark, tmp_path):
+    """Lines that Parquet packs to next to nothing are still read and sorted whole by the tasks that write them."""
+    root = tmp_path / "corpora"
+    root.mkdir()
+    (root / "a.txt").write_text("\n".join(f"@@{i % 10} " + "the same words again " * 250 for i in range(400)))
+    sources = tmp_path / "sources.txt"
+    sources.write_text("\n".join(f"{i} 10 FIC 1990 SRC Title some info" for i in range(10)) + "\n")
+    target = 200_000
+    run_job(spark, str(root), str(sources), str(tmp_path / "out"), target_file_bytes=target)
+    train = spark.read.parquet(str(tmp_path / "out_train.parquet"))
+    texts = F.octet_length(F.col("conversations")[0]["value"]) + F.octet_length(F.col("conversations")[1]["value"])
+    sizes = [r[1] for r in train.groupBy(F.input_file_name()).agg(F.sum(texts)).collect()]
+    assert train.count() == 320
+    assert max(sizes) < 1.5 * target
+
+
 def test_strategies_agree(spark, tmp_path, monkeypatch):
     """Stored tables too large to broadcast: lines are ranked per block, the join is salted."""
     root, sources = corpus(tmp_path)
